@@ -1,9 +1,11 @@
-"""Join helpers: size-checked broadcast (C1) and attaching subscriber names after aggregation.
+"""Join helpers (C1, C2): attaching subscriber names and per-subscriber parts after aggregation.
 
 Rules the reports follow:
   * facts are aggregated to the join key before any join (no fan-out, map-side partial aggregation);
-  * a side is broadcast only after its row count is checked against a bound; beyond the bound the
-    join stays a shuffle join and AQE splits skewed partitions;
+  * broadcast is decided by Spark's size checks (the static threshold on file statistics, then AQE
+    on the actual shuffle sizes); beyond them the join stays a shuffle join and AQE splits skewed
+    partitions. Explicit broadcast hints appear only where the row count is bounded by
+    construction (a top-k key list, the five age-band means);
   * the many-rows side of a join is the left (streamed) side, so a hot key is never buffered and
     AQE skew-join can split it.
 """
@@ -13,22 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows for a broadcast dimension (lookups, tariffs, group means).
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; ``limit(max_rows + 1).count()`` stops early
-    on large inputs, so the check is cheap even when it fails."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows; above the bound the
-    frame is returned unchanged and Spark plans a shuffle join."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 NAME_COLUMNS = ("name", "surname")
 
 

@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telcolens.operators.joins import broadcast_if_bounded
 from telcolens.sources.schemas import TABLES
 
 NULL_KEY = "<null>"
@@ -39,11 +38,11 @@ def pk_violations(tables: Mapping[str, DataFrame], keys: Mapping[str, tuple[str,
 def fk_orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """A5 detail: child key values (non-null) with no parent row, and how many child rows carry each.
 
-    The child is reduced to one row per key value before the anti join; the parent keys are
-    broadcast only if their count is within the bound."""
+    The child is reduced to one row per key value before the anti join; Spark broadcasts the parent
+    keys only when its size checks allow, else both sides are shuffled on the key."""
     keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
     parent_keys = parent.select(F.col(parent_column).alias(column))
-    return keys.join(broadcast_if_bounded(parent_keys), column, "left_anti")
+    return keys.join(parent_keys, column, "left_anti")
 
 
 def fk_summary(

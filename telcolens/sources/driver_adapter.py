@@ -15,6 +15,8 @@ the driver's types (e.g. a tariff id is the part type text), which the reports d
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,19 +63,59 @@ def _shifted(ts: str) -> F.Column:
     return F.col(ts) - F.expr(f"INTERVAL {SMS_SHIFT_MONTHS} MONTHS")
 
 
-def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Declared schemas of the driver files that the mapping reads (never inferred: no footer jobs).
+RAW_SCHEMAS: dict[str, str] = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
 
-    customer, orders, lineitem, part, events = (
-        read("customer"),
-        read("orders"),
-        read("lineitem"),
-        read("part"),
-        read("events"),
-    )
 
-    subscribers = customer.select(
+class DriverTables(Mapping[str, DataFrame]):
+    """The adapted tables, each built on first use and then reused, so one query that reads a
+    table twice gets the same plan subtree (and Spark can reuse its exchanges)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
+        self._built: dict[str, DataFrame] = {}
+
+    def raw(self, name: str) -> DataFrame:
+        if name not in self._raw:
+            self._raw[name] = self._spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
+        return self._raw[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = _BUILDERS[name](self)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(_BUILDERS)
+
+
+def driver_tables(spark: SparkSession, sf_dir: str) -> DriverTables:
+    return DriverTables(spark, sf_dir)
+
+
+def _subscribers(d: DriverTables) -> DataFrame:
+    return d.raw("customer").select(
         F.col("c_custkey").alias("subscribers_id"),
         F.col("c_name").alias("name"),
         F.lit(None).cast("string").alias("surname"),
@@ -86,18 +128,27 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(F.col("c_acctbal") < 0, F.lit("PASSIVE")).otherwise(F.lit("ACTIVE")).alias("status"),
     )
 
-    payments = orders.select(
+
+def _payments(d: DriverTables) -> DataFrame:
+    return d.raw("orders").select(
         F.col("o_orderkey").alias("payment_id"),
         F.col("o_custkey").alias("subscribers_id"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
         F.col("o_orderpriority").alias("payment_type_id"),
         F.col("o_orderdate").alias("payment_date"),
     )
-    payment_method_type = orders.select(
-        F.col("o_orderpriority").alias("payment_type_id")
-    ).distinct().withColumn("name", F.col("payment_type_id"))
 
-    services = part.select(
+
+def _payment_method_type(d: DriverTables) -> DataFrame:
+    return (
+        d.raw("orders").select(F.col("o_orderpriority").alias("payment_type_id"))
+        .distinct()
+        .withColumn("name", F.col("payment_type_id"))
+    )
+
+
+def _services(d: DriverTables) -> DataFrame:
+    return d.raw("part").select(
         F.col("p_partkey").alias("service_id"),
         F.col("p_name").alias("service_name"),
         F.when(F.col("p_size") <= SERVICE_ACTIVE_MAX_SIZE, F.lit(None).cast("timestamp_ntz"))
@@ -105,18 +156,24 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .alias("deactivation_date"),
         F.col("p_type").alias("tariff_id"),
     )
-    tariff_informations = part.groupBy(F.col("p_type").alias("tariff_id")).agg(
-        F.min("p_retailprice").cast("decimal(18,4)").alias("monthly_subscription")
-    ).select(
-        "tariff_id",
-        F.col("tariff_id").alias("tariff_name"),
-        "monthly_subscription",
-        F.lit("ACTIVE").alias("status"),
+
+
+def _tariff_informations(d: DriverTables) -> DataFrame:
+    return (
+        d.raw("part").groupBy(F.col("p_type").alias("tariff_id"))
+        .agg(F.min("p_retailprice").cast("decimal(18,4)").alias("monthly_subscription"))
+        .select(
+            "tariff_id",
+            F.col("tariff_id").alias("tariff_name"),
+            "monthly_subscription",
+            F.lit("ACTIVE").alias("status"),
+        )
     )
 
-    calls = lineitem.join(
-        orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey"
-    ).select(
+
+def _calls(d: DriverTables) -> DataFrame:
+    orders = d.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return d.raw("lineitem").join(orders, "l_orderkey").select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
         F.col("o_custkey").alias("caller_id"),
@@ -130,12 +187,22 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("l_partkey").alias("service_id"),
         F.col("l_linestatus").alias("call_type"),
     )
-    call_type = lineitem.select(F.col("l_returnflag").alias("call_type_id")).distinct().withColumn(
-        "name", F.col("call_type_id")
+
+
+def _call_type(d: DriverTables) -> DataFrame:
+    return (
+        d.raw("lineitem").select(F.col("l_returnflag").alias("call_type_id"))
+        .distinct()
+        .withColumn("name", F.col("call_type_id"))
     )
 
-    sms_events = events.where(F.col("event_type") != F.lit("error"))
-    sms_informations = sms_events.select(
+
+def _sms_events(d: DriverTables) -> DataFrame:
+    return d.raw("events").where(F.col("event_type") != F.lit("error"))
+
+
+def _sms_informations(d: DriverTables) -> DataFrame:
+    return _sms_events(d).select(
         F.col("event_id").alias("sms_id"),
         F.col("user_id").alias("sender_id"),
         _shifted("ts").alias("sms_date"),
@@ -144,11 +211,18 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("event_type").alias("sms_type_id"),
         (F.col("event_id") % SMS_SERVICES).alias("service_id"),
     )
-    sms_types = sms_events.select(F.col("event_type").alias("sms_type_id")).distinct().withColumn(
-        "name", F.col("sms_type_id")
+
+
+def _sms_types(d: DriverTables) -> DataFrame:
+    return (
+        _sms_events(d).select(F.col("event_type").alias("sms_type_id"))
+        .distinct()
+        .withColumn("name", F.col("sms_type_id"))
     )
 
-    complaints = events.where(F.col("event_type") == F.lit("error")).select(
+
+def _complaints(d: DriverTables) -> DataFrame:
+    return d.raw("events").where(F.col("event_type") == F.lit("error")).select(
         F.col("event_id").alias("complaint_id"),
         F.col("user_id").alias("subscribers_id"),
         F.lit(None).cast("bigint").alias("complaint_type_id"),
@@ -156,18 +230,19 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _shifted("ts").alias("submission_date"),
     )
 
-    return {
-        "subscribers": subscribers,
-        "payments": payments,
-        "payment_method_type": payment_method_type,
-        "services": services,
-        "tariff_informations": tariff_informations,
-        "calls": calls,
-        "call_type": call_type,
-        "sms_informations": sms_informations,
-        "sms_types": sms_types,
-        "complaints_and_support_requests": complaints,
-    }
+
+_BUILDERS = {
+    "subscribers": _subscribers,
+    "payments": _payments,
+    "payment_method_type": _payment_method_type,
+    "services": _services,
+    "tariff_informations": _tariff_informations,
+    "calls": _calls,
+    "call_type": _call_type,
+    "sms_informations": _sms_informations,
+    "sms_types": _sms_types,
+    "complaints_and_support_requests": _complaints,
+}
 
 
 # The same mapping as DuckDB CTEs, for the independent SQL check. Table names are the driver's views.
