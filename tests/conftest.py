@@ -78,7 +78,7 @@ def load_fixture(spark, extra: dict[str, tuple[list[str], list[list[object]]]] |
         df = from_rows(spark, name, cols, rows, LOAD_TS)
         if extra and name in extra:
             ecols, erows = extra[name]
-            df = df.unionByName(from_rows(spark, name, ecols, erows, LOAD_TS))
+            df = df.unionByName(from_rows(spark, name, ecols, erows, LOAD_TS), allowMissingColumns=True)
         tables[name] = df
     return resolve_lookups(tables)
 
