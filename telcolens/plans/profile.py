@@ -15,7 +15,6 @@ from telcolens.plans.questions import (
     Tables,
     _complaint_counts,
     _payment_totals,
-    _service_users_amount,
     _usage_agg,
 )
 
@@ -54,23 +53,28 @@ def s01_subscriber_profile(t: Tables, as_of: AsOf) -> DataFrame:
 def s02_service_performance(t: Tables, as_of: AsOf) -> DataFrame:
     """One row per service: tariff, calls, seconds, SMS, distinct users and the users' payment
     total (counted as in T3)."""
+    # One pass over the (subscriber, service) aggregate: usage sums and, per distinct user, the
+    # user's payment total (counted once per service used, as in T3).
+    totals = (
+        t["payments"]
+        .where(up_to("payment_date", as_of))
+        .groupBy("subscribers_id")
+        .agg(F.sum("amount").alias("total"))
+    )
     per = (
         _usage_agg(t, as_of)
         .where(F.col("service_id").isNotNull())
+        .join(totals, "subscribers_id", "left")
         .groupBy("service_id")
         .agg(
             F.sum("calls").cast("bigint").alias("calls"),
             F.sum("seconds").cast("bigint").alias("seconds"),
             F.sum("sms").cast("bigint").alias("sms"),
             F.count("subscribers_id").alias("subscribers"),
+            money_total("total").alias("amount"),
         )
     )
-    amount = _service_users_amount(t, as_of).select("service_id", "amount")
-    out = (
-        t["services"].select("service_id", "service_name", "tariff_id")
-        .join(per, "service_id", "left")
-        .join(amount, "service_id", "left")
-    )
+    out = t["services"].select("service_id", "service_name", "tariff_id").join(per, "service_id", "left")
     return out.select(
         "service_id",
         "service_name",

@@ -267,18 +267,16 @@ def t12_tariff_average(t: Tables, as_of: AsOf) -> DataFrame:
         .agg(F.sum("month_total").alias("total"), F.count(F.lit(1)).alias("months"))
     )
     pairs = subscriber_tariff(_usage_agg(t, as_of), t["services"])
-    paid = (
-        pairs.join(monthly, "subscribers_id")
+    # One pass over the pairs: calls of every pair, payments of the pairs whose subscriber paid.
+    per_tariff = (
+        pairs.join(monthly, "subscribers_id", "left")
         .groupBy("tariff_id")
-        .agg(F.sum("total").alias("total"), F.sum("months").alias("months"))
-        .select("tariff_id", (F.col("total").cast("double") / F.col("months").cast("double")).alias("avg_monthly_payment"))
-    )
-    calls = pairs.groupBy("tariff_id").agg(F.sum("calls").cast("bigint").alias("calls"))
-    out = (
-        t["tariff_informations"].select("tariff_id", "tariff_name")
-        .join(paid, "tariff_id", "left")
-        .join(calls, "tariff_id", "left")
+        .agg(
+            (F.sum("total").cast("double") / F.sum("months").cast("double")).alias("avg_monthly_payment"),
+            F.sum("calls").cast("bigint").alias("calls"),
+        )
     )
+    out = t["tariff_informations"].select("tariff_id", "tariff_name").join(per_tariff, "tariff_id", "left")
     return out.select("tariff_id", "tariff_name", "avg_monthly_payment", zero("calls"))
 
 
