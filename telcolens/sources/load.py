@@ -25,17 +25,20 @@ MONTH_COLUMN = "event_month"
 LOAD_ONLY = {LOOKUP_ID: T.LongType()}
 
 
-def conform(df: DataFrame, table: str, load_ts: AsOf) -> DataFrame:
-    """A3: declared column order and types; defaults for omitted columns only."""
+def conform(df: DataFrame, table: str, load_ts: AsOf | Column) -> DataFrame:
+    """A3: declared column order and types; defaults for omitted columns only.
+
+    ``load_ts`` is the batch's load time: a fixed value, or a column such as the micro-batch time."""
     spec = TABLES[table]
     present = set(df.columns)
+    load_col = load_ts if isinstance(load_ts, Column) else ts_lit(load_ts)
     cols: list[Column] = []
     for c in spec.columns:
         meta = {"comment": c.comment} if c.comment else {}
         if c.name in present:
             v = F.col(c.name).cast(c.dtype)
         elif c.default == SYSDATE:
-            v = ts_lit(load_ts)
+            v = load_col
         elif c.default is not None:
             v = F.lit(c.default).cast(c.dtype)
         else:
