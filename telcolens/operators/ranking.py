@@ -31,21 +31,26 @@ def compare_to_group_mean(
     mean_name: str,
     flag_name: str,
     fixed_groups: bool = False,
+    bounded_by: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the mean of ``value`` over each ``group`` and flag rows strictly above it.
 
     The mean is a ``groupBy`` with partial aggregation, not a Window: a Window over few groups would
-    send every row of a group to one task. With ``fixed_groups`` (a fixed label set, so the means
-    have a proven size bound) the means are broadcast; otherwise the join is left to Spark's size
-    checks -- AQE turns it into a broadcast from the actual size, and if the means were large the
-    shuffle join keeps ``df`` on the left, where AQE skew-join can split a hot group.
-    Rows whose group is null get a null mean and a null flag. The mean is exact: the sum in
-    decimal/bigint, divided as double.
+    send every row of a group to one task. The means are broadcast back only with a proven bound:
+    ``fixed_groups`` (a fixed label set), or ``bounded_by``, a dimension whose row count the caller
+    checked -- the means are then restricted to its keys, so they cannot outgrow it. Otherwise the
+    join is left to Spark's size checks; ``df`` stays on the left, where AQE skew-join can split a
+    hot group. Rows whose group is null or outside the dimension get a null mean and flag. The
+    mean is exact: the sum in decimal/bigint, divided as double.
     """
     means = (
         df.where(F.col(group).isNotNull())
         .groupBy(group)
         .agg((F.sum(value).cast("double") / F.count(F.lit(1)).cast("double")).alias(mean_name))
     )
-    out = df.join(F.broadcast(means) if fixed_groups else means, group, "left")
+    bounded = fixed_groups
+    if bounded_by is not None:
+        means = means.join(F.broadcast(bounded_by.select(group)), group, "left_semi")
+        bounded = True
+    out = df.join(F.broadcast(means) if bounded else means, group, "left")
     return out.withColumn(flag_name, F.col(value).cast("double") > F.col(mean_name))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from telcolens.functions.people import age_band, age_years, money_total, zero
 from telcolens.functions.timewin import AsOf, up_to
-from telcolens.operators.joins import for_each_subscriber
+from telcolens.operators.joins import for_each_subscriber, lookup
 from telcolens.operators.lookup import enrich_receiver_phone
 from telcolens.plans.questions import (
     NAMES,
@@ -89,9 +89,8 @@ def s02_service_performance(t: Tables, as_of: AsOf) -> DataFrame:
 
 def s03_call_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
     """S3: every call (up to ``as_of`` if given) with caller names, receiver phone (C4), service,
-    tariff and call-kind names. The call table stays the streamed side of every join; Spark
-    broadcasts a lookup dimension only when its size check passes (file statistics, then AQE's
-    actual sizes)."""
+    tariff and call-kind names. The call table stays the streamed side of every join; the few-valued
+    lookups (tariff, call kind) are broadcast after a row-count check, the rest is sized by Spark."""
     calls = t["calls"] if as_of is None else t["calls"].where(up_to("call_date", as_of))
     calls = enrich_receiver_phone(calls, t["subscribers"])
     callers = t["subscribers"].select(
@@ -100,8 +99,8 @@ def s03_call_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
         F.col("surname").alias("caller_surname"),
     )
     services = t["services"].select("service_id", "service_name", "tariff_id")
-    tariffs = t["tariff_informations"].select("tariff_id", "tariff_name")
-    kinds = t["call_type"].select("call_type_id", F.col("name").alias("kind"))
+    tariffs = lookup(t["tariff_informations"].select("tariff_id", "tariff_name"))
+    kinds = lookup(t["call_type"].select("call_type_id", F.col("name").alias("kind")))
     cols = calls.columns
     return (
         calls.join(callers, "caller_id", "left")

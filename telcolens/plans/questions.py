@@ -26,7 +26,7 @@ from telcolens.functions.people import (
     zero,
 )
 from telcolens.functions.timewin import AsOf, in_last_months, up_to
-from telcolens.operators.joins import attach_names, for_each_subscriber
+from telcolens.operators.joins import attach_names, fits, for_each_subscriber, lookup
 from telcolens.operators.ranking import compare_to_group_mean, latest_per_key, top_k
 from telcolens.operators.rollup import ordered_concat
 from telcolens.operators.usage import (
@@ -96,7 +96,7 @@ def t02_last_payment(t: Tables, as_of: AsOf) -> DataFrame:
     last = latest_per_key(
         pay, "subscribers_id", [F.col("payment_date").desc_nulls_last(), F.col("payment_id").desc()]
     )
-    methods = t["payment_method_type"].select("payment_type_id", F.col("name").alias("payment_method"))
+    methods = lookup(t["payment_method_type"].select("payment_type_id", F.col("name").alias("payment_method")))
     out = (
         t["subscribers"].select(*NAMES)
         .join(last, "subscribers_id", "left")
@@ -116,7 +116,7 @@ def t03_active_service_totals(t: Tables, as_of: AsOf, require_active_tariff: boo
     svc = t["services"].where(service_active(as_of)).select("service_id", "service_name", "tariff_id")
     if require_active_tariff:
         active = t["tariff_informations"].where(F.col("status") == "ACTIVE").select("tariff_id")
-        svc = svc.join(active, "tariff_id", "left_semi")
+        svc = svc.join(lookup(active), "tariff_id", "left_semi")
     per_service = _service_users_amount(t, as_of)
     out = svc.join(per_service, "service_id", "left")
     return out.select("service_id", "service_name", zero("subscribers"), zero("amount", "decimal(38,2)"))
@@ -158,8 +158,10 @@ def t05_tariff_fee_calls(t: Tables, as_of: AsOf) -> DataFrame:
     """T5: per subscriber and tariff used, the tariff's monthly fee and the calls on that tariff.
     Subscribers without a tariff get one row with null tariff and 0 calls."""
     pairs = subscriber_tariff(_usage_agg(t, as_of), t["services"])
-    tariffs = t["tariff_informations"].select(
-        "tariff_id", "tariff_name", F.col("monthly_subscription").alias("monthly_fee")
+    tariffs = lookup(
+        t["tariff_informations"].select(
+            "tariff_id", "tariff_name", F.col("monthly_subscription").alias("monthly_fee")
+        )
     )
     out = for_each_subscriber(t["subscribers"], pairs).join(tariffs, "tariff_id", "left")
     return out.select(*NAMES, "tariff_id", "tariff_name", "monthly_fee", zero("calls"))
@@ -286,7 +288,7 @@ def t13_sms_detail_12m(t: Tables, as_of: AsOf, months: int = 12) -> DataFrame:
     sms = t["sms_informations"].where(in_last_months("sms_date", as_of, months)).select(
         F.col("sender_id").alias("subscribers_id"), "sms_id", "sms_date", "sms_content", "sms_type_id"
     )
-    kinds = t["sms_types"].select("sms_type_id", F.col("name").alias("sms_type"))
+    kinds = lookup(t["sms_types"].select("sms_type_id", F.col("name").alias("sms_type")))
     subs = t["subscribers"].select(*NAMES)
     cols = (*NAMES, "sms_id", "sms_date", "sms_content", "sms_type")
     # SMS rows stay on the streamed side, so a heavy sender is split by AQE, never buffered.
@@ -339,7 +341,15 @@ def t17_above_tariff_average(t: Tables, as_of: AsOf) -> DataFrame:
     per = for_each_subscriber(t["subscribers"], pairs, totals).select(
         *NAMES, "tariff_id", zero("total_paid", "decimal(38,2)")
     )
-    out = compare_to_group_mean(per, "tariff_id", "total_paid", "tariff_avg_paid", "above_tariff_avg")
+    tariffs = t["tariff_informations"].select("tariff_id")
+    out = compare_to_group_mean(
+        per,
+        "tariff_id",
+        "total_paid",
+        "tariff_avg_paid",
+        "above_tariff_avg",
+        bounded_by=tariffs if fits(tariffs) else None,
+    )
     return out.select(*NAMES, "tariff_id", "total_paid", "tariff_avg_paid", "above_tariff_avg")
 
 
