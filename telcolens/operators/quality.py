@@ -69,7 +69,8 @@ def fk_summary(
 
 def domain_checks(tables: Mapping[str, DataFrame]) -> list[tuple[str, str, str, int]]:
     """(table, column, rule, limit) for every declared length / precision whose column is present
-    with a matching type."""
+    with a matching type. Rules: ``max_length`` (characters, ``varchar2(n char)``), ``max_bytes``
+    (``varchar2(n)``, byte semantics), ``max_digits`` (``number(n)``)."""
     out = []
     for name, df in tables.items():
         if name not in TABLES:
@@ -80,7 +81,7 @@ def domain_checks(tables: Mapping[str, DataFrame]) -> list[tuple[str, str, str,
             if t is None:
                 continue
             if col.max_len is not None and t == "string":
-                out.append((name, col.name, "max_length", col.max_len))
+                out.append((name, col.name, "max_bytes" if col.byte_len else "max_length", col.max_len))
             if col.max_digits is not None and (t in ("bigint", "int") or t.startswith("decimal")):
                 out.append((name, col.name, "max_digits", col.max_digits))
     return out
@@ -99,7 +100,12 @@ def domain_violations(
         aggs = []
         for i, (column, rule, limit) in enumerate(items):
             c = F.col(column)
-            bad = F.length(c) > limit if rule == "max_length" else F.abs(c) >= F.lit(10**limit)
+            if rule == "max_length":
+                bad = F.length(c) > limit  # characters
+            elif rule == "max_bytes":
+                bad = F.octet_length(c) > limit  # UTF-8 bytes
+            else:
+                bad = F.abs(c) >= F.lit(10**limit)
             aggs.append(F.count_if(bad).alias(f"v{i}"))
         row = tables[table].agg(*aggs)
         cells = F.array(

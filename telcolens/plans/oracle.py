@@ -393,7 +393,12 @@ def _fk_sql() -> str:
 def domain_sql(checks: list[tuple[str, str, str, int]]) -> str:
     parts = []
     for table, col, rule, limit in checks:
-        bad = f"length({col}) > {limit}" if rule == "max_length" else f"abs({col}) >= {10**limit}"
+        if rule == "max_length":
+            bad = f"length({col}) > {limit}"
+        elif rule == "max_bytes":
+            bad = f"strlen({col}) > {limit}"
+        else:
+            bad = f"abs({col}) >= {10**limit}"
         parts.append(
             f"SELECT '{table}' AS table_name, '{col}' AS column_name, '{rule}' AS rule, "
             f"CAST({limit} AS BIGINT) AS limit_value, COUNT(*) FILTER (WHERE {bad}) AS violations FROM {table}"

@@ -325,7 +325,7 @@ def driver_domain_checks() -> list[tuple[str, str, str, int]]:
             if col.name not in cols:
                 continue
             if col.max_len is not None:
-                out.append((table, col.name, "max_length", col.max_len))
+                out.append((table, col.name, "max_bytes" if col.byte_len else "max_length", col.max_len))
             if col.max_digits is not None:
                 out.append((table, col.name, "max_digits", col.max_digits))
     return out

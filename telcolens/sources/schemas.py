@@ -30,6 +30,7 @@ class Col:
     comment: str = ""
     default: object = None  # SYSDATE, a literal, or None (= no default)
     max_len: int | None = None  # varchar2(n) length, checked by dq_domain
+    byte_len: bool = False  # varchar2(n) without CHAR counts bytes (the default length semantics)
     max_digits: int | None = None  # number(n) precision, checked by dq_domain
 
 
@@ -60,7 +61,7 @@ class Table:
 
 
 def _status(default: str = "ACTIVE") -> Col:
-    return Col("status", STR, "Row status", default, max_len=20)
+    return Col("status", STR, "Row status", default, max_len=20, byte_len=True)
 
 
 TABLES: dict[str, Table] = {
@@ -77,9 +78,9 @@ TABLES: dict[str, Table] = {
                 Col("birth_date", DATE, "Date of birth"),
                 Col("gender", STR, "Gender", max_len=20),
                 Col("registration_date", TS, "Registration time", SYSDATE),
-                Col("email", STR, "E-mail address", max_len=200),
-                Col("phone_number", STR, "Phone number", max_len=20),
-                Col("status", STR, "ACTIVE or PASSIVE", "ACTIVE", max_len=20),
+                Col("email", STR, "E-mail address", max_len=200, byte_len=True),
+                Col("phone_number", STR, "Phone number", max_len=20, byte_len=True),
+                Col("status", STR, "ACTIVE or PASSIVE", "ACTIVE", max_len=20, byte_len=True),
                 Col("changed_date", TS, "Time of the last status change"),
             ),
             primary_key=("subscribers_id",),
@@ -164,7 +165,7 @@ TABLES: dict[str, Table] = {
                 Col("caller_id", LONG, "Calling subscriber", max_digits=10),
                 Col("call_date", TS, "Call date and time", SYSDATE),
                 Col("call_duration", LONG, "Duration in seconds"),
-                Col("receiver_phone", STR, "Called phone number", max_len=20),
+                Col("receiver_phone", STR, "Called phone number", max_len=20, byte_len=True),
                 Col("call_type_id", LONG, "Call kind id"),
                 Col("service_id", LONG, "Service id"),
                 Col("call_type", STR, "Direction (Send / Receive)", max_len=100),
@@ -196,7 +197,7 @@ TABLES: dict[str, Table] = {
                 Col("sms_id", LONG, "SMS id"),
                 Col("sender_id", LONG, "Sending subscriber"),
                 Col("sms_date", TS, "SMS date and time", SYSDATE),
-                Col("receiver_phone", STR, "Receiving phone number", max_len=20),
+                Col("receiver_phone", STR, "Receiving phone number", max_len=20, byte_len=True),
                 Col("sms_content", STR, "Message text", max_len=4000),
                 Col("sms_type_id", LONG, "SMS kind id"),
                 Col("insert_date", TS, "Row insert time", SYSDATE),
@@ -260,7 +261,7 @@ TABLES: dict[str, Table] = {
                 Col("subscribers_id", LONG, "Complaining subscriber"),
                 Col("complaint_type_id", LONG, "Complaint kind id"),
                 Col("description", STR, "Description", max_len=250),
-                Col("status", STR, "SOLVED or UNSOLVED", "UNSOLVED", max_len=100),
+                Col("status", STR, "SOLVED or UNSOLVED", "UNSOLVED", max_len=100, byte_len=True),
                 Col("submission_date", TS, "Submission time"),
                 Col("resolution_date", TS, "Resolution time"),
                 Col("insert_date", TS, "Row insert time", SYSDATE),

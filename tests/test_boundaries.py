@@ -169,3 +169,4 @@ def test_integrity_violations_found(spark, fx):
     assert dom[("subscribers", "name", "max_length")] == 1
     assert dom[("subscribers", "subscribers_id", "max_digits")] == 1
     assert dom[("subscribers", "surname", "max_length")] == 0
+    assert dom[("subscribers", "phone_number", "max_bytes")] == 0
