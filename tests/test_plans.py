@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 import pytest
 
 import __spark_entry__ as entry
@@ -12,9 +15,15 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
              "PythonUDF", "FlatMapGroupsInPandas")
 
 
+def explain(df, mode: str = "simple") -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
+
+
 def plan(spark, name: str) -> str:
-    df = QUERIES[name](spark, SMOKE_SF)
-    return df._jdf.queryExecution().executedPlan().toString()
+    return explain(QUERIES[name](spark, SMOKE_SF), "formatted")
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -26,7 +35,8 @@ def test_no_cross_product_or_python(spark, name):
 
 def test_filters_reach_the_scan(spark):
     p = plan(spark, "t01_service_usage_3m")
-    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate,2001-05-02T00:00)" in p
+    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate,2001-05-02T00:00), " \
+        "LessThanOrEqual(l_shipdate,2001-08-02T00:00)" in p
 
 
 def test_column_pruning(spark):
@@ -42,9 +52,11 @@ def test_group_means_without_window(spark):
 
 
 def test_latest_payment_limits_before_shuffle(spark):
-    df = QUERIES["t02_last_payment"](spark, SMOKE_SF)
-    p = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "WindowGroupLimit" in p
+    p = explain(QUERIES["t02_last_payment"](spark, SMOKE_SF))
+    lines = p.splitlines()
+    partial = next(i for i, x in enumerate(lines) if "WindowGroupLimit" in x and "Partial" in x)
+    exchange = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(subscribers_id" in x)
+    assert exchange < partial  # the partial limit sits below (before) the shuffle
 
 
 def test_top10_is_take_ordered(spark):
