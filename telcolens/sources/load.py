@@ -81,7 +81,12 @@ def read_table(
     )
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        # H1: dates arrive as 'YYYY-MM-DD' text, times as 'YYYY-MM-DD HH:MM:SS'.
+        reader = (
+            reader.option("header", "true")
+            .option("dateFormat", "yyyy-MM-dd")
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+        )
     return conform(reader.format(fmt).load(path), table, load_ts)
 
 

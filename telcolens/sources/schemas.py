@@ -295,3 +295,23 @@ TABLES: dict[str, Table] = {
 def schema(table: str) -> T.StructType:
     """A1: the declared schema of ``table``."""
     return TABLES[table].schema
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def create_table_sql(table: str, location: str, partition_column: str | None = "event_month") -> str:
+    """A1 + A7 as catalog DDL: ``CREATE TABLE ... USING parquet`` with the table and column comments,
+    partitioned by event month for fact tables (the layout ``load.append`` writes)."""
+    t = TABLES[table]
+    cols = [f"{c.name} {c.dtype.simpleString()}" + (f" COMMENT {_quote(c.comment)}" if c.comment else "")
+            for c in t.columns]
+    part = ""
+    if t.event_time is not None and partition_column:
+        cols.append(f"{partition_column} date")
+        part = f" PARTITIONED BY ({partition_column})"
+    return (
+        f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(cols)}) USING parquet{part} "
+        f"COMMENT {_quote(t.comment)} LOCATION {_quote(location)}"
+    )

@@ -86,7 +86,10 @@ def load_fixture(spark, extra: dict[str, tuple[list[str], list[list[object]]]] |
 @pytest.fixture(scope="session")
 def spark():
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
-    s = build_session("local[4]", 4, app_name="telcolens-tests")
+    import tempfile
+
+    warehouse = tempfile.mkdtemp(prefix="telcolens-warehouse-")
+    s = build_session("local[4]", 4, app_name="telcolens-tests", extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

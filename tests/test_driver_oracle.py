@@ -51,3 +51,19 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted(s_cols) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert canon(s_cols, s_rows) == canon(d_cols, d_rows)
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    names = ["t12_tariff_average", "t16_age_gender", "t10_sms_count_contents_12m", "t18_above_age_average"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    seen = {}
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Baku"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            for n in names:
+                df = QUERIES[n](spark, SMOKE_SF)
+                seen.setdefault(n, []).append(canon(df.columns, [tuple(r) for r in df.collect()]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for n, results in seen.items():
+        assert results[0] == results[1] == results[2], n

@@ -59,3 +59,22 @@ def test_streaming_ingest_exactly_once(spark, fx):
     c1 = got.where(F.col("call_id") == 1).collect()[0]
     assert c1["receiver_phone"] == "555-3456"
     assert "receiver_subscriber_id" not in got.columns
+
+
+def test_csv_dates_and_catalog_ddl(spark):
+    from telcolens.sources.schemas import create_table_sql
+
+    df = read_table(spark, "tests/fixtures/subscribers.csv", "subscribers", AS_OF, fmt="csv",
+                    columns=["subscribers_id", "name", "surname", "patronymic", "birth_date", "gender",
+                             "email", "phone_number", "status", "changed_date"])
+    # explicit NULL tokens are text here; the date column parses from 'YYYY-MM-DD'
+    r = df.where("subscribers_id = 1").collect()[0]
+    assert str(r["birth_date"]) == "1990-01-01"
+    loc = scratch() + "/payments"
+    append(from_rows(spark, "payments", PAY_COLS, [[1, 1, Decimal("1.00"), 1, AS_OF]], AS_OF), "payments", loc)
+    spark.sql(create_table_sql("payments", loc))
+    spark.sql("ALTER TABLE payments RECOVER PARTITIONS")
+    desc = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE TABLE payments").collect()}
+    assert desc["amount"] == "Amount"
+    assert spark.table("payments").count() == 1
+    spark.sql("DROP TABLE payments")
