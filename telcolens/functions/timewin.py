@@ -23,6 +23,10 @@ def as_datetime(value: AsOf) -> datetime:
     return datetime.fromisoformat(str(value))
 
 
+def as_of_text(value: AsOf) -> str:
+    return as_datetime(value).isoformat(sep=" ")
+
+
 def ts_lit(value: AsOf) -> Column:
     """A timestamp_ntz literal (time-zone free)."""
     return F.lit(as_datetime(value).isoformat(sep=" ")).cast("timestamp_ntz")

@@ -25,7 +25,7 @@ from telcolens.functions.people import (
     service_active,
     zero,
 )
-from telcolens.functions.timewin import AsOf, in_last_months, up_to
+from telcolens.functions.timewin import AsOf, as_of_text, in_last_months, up_to
 from telcolens.operators.joins import attach_names, fits, for_each_subscriber, lookup
 from telcolens.operators.ranking import compare_to_group_mean, latest_per_key, top_k
 from telcolens.operators.rollup import ordered_concat
@@ -39,7 +39,14 @@ Tables = Mapping[str, DataFrame]
 NAMES = ("subscribers_id", "name", "surname")
 
 
+def shared_usage_key(as_of: AsOf) -> str:
+    """Key under which a batch run places the precomputed usage aggregate up to ``as_of``."""
+    return f"usage_by_subscriber_service@{as_of_text(as_of)}"
+
+
 def _usage_agg(t: Tables, as_of: AsOf, months: int | None = None) -> DataFrame:
+    if months is None and shared_usage_key(as_of) in t:
+        return t[shared_usage_key(as_of)]
     return usage_by_subscriber_service(
         usage_union(t["calls"], t["sms_informations"], as_of, months)
     )
