@@ -45,12 +45,21 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a local one only if the session names none."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local-mode session (tests, local runs) without one gets a fresh local folder; on a
+    cluster a missing setting is an error, because a machine-local folder would not survive the
+    loss of that machine."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="telcolens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
