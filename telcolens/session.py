@@ -2,8 +2,8 @@
 
 The library never needs a particular session: every report is a DataFrame function. These settings are
 what a cluster job should run with (AQE with skew-join splitting, runtime bloom filters, UTC, no UI).
-The checkpoint folder is read from ``spark.checkpoint.dir``; a local one is set only when the
-session has none (tests and local runs).
+The checkpoint folder is read from ``spark.checkpoint.dir`` where a job needs one (batch runs, streaming
+loads); a local one is set only for a local-mode session that has none (tests and local runs).
 """
 
 from __future__ import annotations
@@ -40,7 +40,6 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
