@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def ordered_concat(
+def ordered_concat_parts(
     df: DataFrame,
     key: str,
     text: str,
@@ -21,22 +21,43 @@ def ordered_concat(
     out_count: str,
     sep: str = "; ",
     bucket_unit: str = "hour",
+    part_col: str = "part_start",
 ) -> DataFrame:
-    """Per ``key``: ``out_count`` rows and their non-null ``text`` joined by ``sep`` in
-    (``time_col``, ``tie_col``) order."""
+    """Phase 1: per (``key``, time bucket): the bucket start (``part_col``, timestamp_ntz), the row
+    count and the non-null ``text`` joined by ``sep`` in (``time_col``, ``tie_col``) order.
+
+    Reading a key's parts in ``part_col`` order gives its whole ordered text; no part holds more than
+    one bucket of one key, so even a key with a third of all rows is spread over many groups."""
     sep_sql = sep.replace("'", "''")
-    parts = (
+    return (
         df.select(key, text, time_col, tie_col)
-        .withColumn("_bucket", F.date_trunc(bucket_unit, F.col(time_col)))
-        .groupBy(key, "_bucket")
+        .withColumn(part_col, F.date_trunc(bucket_unit, F.col(time_col)).cast("timestamp_ntz"))
+        .groupBy(key, part_col)
         .agg(
+            F.count(F.lit(1)).alias(out_count),
             F.expr(
                 f"listagg({text}, '{sep_sql}') WITHIN GROUP "
                 f"(ORDER BY {time_col} ASC NULLS FIRST, {tie_col} ASC NULLS FIRST)"
-            ).alias("_part"),
-            F.count(F.lit(1)).alias("_n"),
+            ).alias(out_text),
         )
     )
+
+
+def ordered_concat(
+    df: DataFrame,
+    key: str,
+    text: str,
+    time_col: str,
+    tie_col: str,
+    out_text: str,
+    out_count: str,
+    sep: str = "; ",
+    bucket_unit: str = "hour",
+) -> DataFrame:
+    """Per ``key``: ``out_count`` rows and their non-null ``text`` joined by ``sep`` in
+    (``time_col``, ``tie_col``) order -- phase 1, then one concatenation of the bucket strings."""
+    sep_sql = sep.replace("'", "''")
+    parts = ordered_concat_parts(df, key, text, time_col, tie_col, "_part", "_n", sep, bucket_unit, "_bucket")
     return parts.groupBy(key).agg(
         F.sum("_n").cast("bigint").alias(out_count),
         F.expr(f"listagg(_part, '{sep_sql}') WITHIN GROUP (ORDER BY _bucket ASC NULLS FIRST)").alias(out_text),

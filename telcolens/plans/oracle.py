@@ -207,6 +207,16 @@ SELECT s.subscribers_id, s.name, s.surname, {_z('a.sms_count', 'sms_count')}, a.
 FROM subscribers s LEFT JOIN agg a ON a.subscribers_id = s.subscribers_id
 """
 
+SQL["t10_sms_contents_by_hour_12m"] = _with(
+    f"""parts AS (
+  SELECT sender_id AS subscribers_id, date_trunc('hour', sms_date) AS part_start, COUNT(*) AS sms_count,
+         STRING_AGG(sms_content, '; ' ORDER BY sms_date ASC NULLS FIRST, sms_id ASC NULLS FIRST) AS sms_contents
+  FROM sms_informations WHERE {_last('sms_date', 12, A12)} GROUP BY sender_id, date_trunc('hour', sms_date))"""
+) + f"""
+SELECT s.subscribers_id, s.name, s.surname, p.part_start, {_z('p.sms_count', 'sms_count')}, p.sms_contents
+FROM subscribers s LEFT JOIN parts p ON p.subscribers_id = s.subscribers_id
+"""
+
 SQL["t11_calls_payments"] = _with(CALL_TOTALS, PAY_TOTALS) + f"""
 SELECT s.subscribers_id, s.name, s.surname, {_z('c.calls', 'calls')}, {_z('c.seconds', 'seconds')},
        {_z('p.payments', 'payments')}, {_z('p.amount', 'amount', M)}, p.last_payment_date

@@ -28,7 +28,7 @@ from telcolens.functions.people import (
 from telcolens.functions.timewin import AsOf, as_of_text, in_last_months, up_to
 from telcolens.operators.joins import attach_names, fits, for_each_subscriber, lookup
 from telcolens.operators.ranking import compare_to_group_mean, latest_per_key, top_k
-from telcolens.operators.rollup import ordered_concat
+from telcolens.operators.rollup import ordered_concat, ordered_concat_parts
 from telcolens.operators.usage import (
     subscriber_tariff,
     usage_by_subscriber_service,
@@ -247,6 +247,24 @@ def t10_sms_count_contents_12m(t: Tables, as_of: AsOf, months: int = 12) -> Data
     return out.select(*NAMES, zero("sms_count"), "sms_contents")
 
 
+def t10_sms_contents_by_hour_12m(t: Tables, as_of: AsOf, months: int = 12) -> DataFrame:
+    """T10, skew-safe form: the same SMS contents in the same order, one row per subscriber and hour
+    with SMS (``part_start``, the hour's count and text); subscribers without SMS appear once with
+    null part, 0 and null. Concatenating a subscriber's parts in ``part_start`` order with '; '
+    gives the T10 text. No row holds more than one hour of one subscriber, so a sender with a third
+    of all SMS is spread over many rows and tasks."""
+    sms = (
+        t["sms_informations"]
+        .where(in_last_months("sms_date", as_of, months))
+        .select(F.col("sender_id").alias("subscribers_id"), "sms_content", "sms_date", "sms_id")
+    )
+    parts = ordered_concat_parts(
+        sms, "subscribers_id", "sms_content", "sms_date", "sms_id", "sms_contents", "sms_count"
+    )
+    out = for_each_subscriber(t["subscribers"], parts)
+    return out.select(*NAMES, "part_start", zero("sms_count"), "sms_contents")
+
+
 def t11_calls_payments(t: Tables, as_of: AsOf) -> DataFrame:
     """Each subscriber's calls and seconds, and payments: count, amount, last payment time."""
     out = for_each_subscriber(t["subscribers"], _calls_totals(t, as_of), _payment_totals(t, as_of))
@@ -384,6 +402,7 @@ QUESTIONS = {
     "t08_payments_services_6m": t08_payments_services_6m,
     "t09_top10_complainers": t09_top10_complainers,
     "t10_sms_count_contents_12m": t10_sms_count_contents_12m,
+    "t10_sms_contents_by_hour_12m": t10_sms_contents_by_hour_12m,
     "t11_calls_payments": t11_calls_payments,
     "t12_tariff_average": t12_tariff_average,
     "t13_sms_detail_12m": t13_sms_detail_12m,

@@ -24,7 +24,11 @@ from telcolens.sources.driver_adapter import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The two 12-month SMS questions use a later report time so that the window edge cuts the data.
-_AS_OF_FOR = {"t10_sms_count_contents_12m": AS_OF_SMS_12M, "t13_sms_detail_12m": AS_OF_SMS_12M}
+_AS_OF_FOR = {
+    "t10_sms_count_contents_12m": AS_OF_SMS_12M,
+    "t10_sms_contents_by_hour_12m": AS_OF_SMS_12M,
+    "t13_sms_detail_12m": AS_OF_SMS_12M,
+}
 
 
 def _report(fn, as_of: str) -> Query:

@@ -41,3 +41,22 @@ def test_heavy_sender_order(spark):
         assert got[sub]["sms_contents"] == expected
     assert "tie-b; tie-a" in got[6]["sms_contents"]
     assert "too-old" not in got[6]["sms_contents"] and "too-new" not in got[6]["sms_contents"]
+
+
+def test_hour_parts_rebuild_the_text(spark):
+    rnd = random.Random(11)
+    start = AS_OF - timedelta(days=30)
+    rows = [[100 + i, 6 if i % 2 else 7, start + timedelta(minutes=rnd.randrange(0, 30 * 24 * 60, 13)), "1",
+             None if i % 17 == 0 else f"p{i}", 1, AS_OF, 2] for i in range(300)]
+    t = load_fixture(spark, {"sms_informations": (SMS_COLS, rows)})
+    whole = {r["subscribers_id"]: r for r in Q.t10_sms_count_contents_12m(t, AS_OF).collect()}
+    parts = {}
+    for r in Q.t10_sms_contents_by_hour_12m(t, AS_OF).collect():
+        parts.setdefault(r["subscribers_id"], []).append(r)
+    assert set(parts) == set(whole)
+    for sub, ps in parts.items():
+        ps.sort(key=lambda r: (r["part_start"] is not None, r["part_start"]))
+        text = "; ".join(r["sms_contents"] for r in ps if r["sms_contents"] is not None) or None
+        assert text == whole[sub]["sms_contents"], sub
+        assert sum(r["sms_count"] for r in ps) == whole[sub]["sms_count"]
+    assert len(parts[6]) > 50  # the heavy sender is spread over many rows
