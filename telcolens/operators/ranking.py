@@ -43,10 +43,10 @@ def compare_to_group_mean(
     hot group. Rows whose group is null or outside the dimension get a null mean and flag. The
     mean is exact: the sum in decimal/bigint, divided as double.
     """
-    means = (
-        df.where(F.col(group).isNotNull())
-        .groupBy(group)
-        .agg((F.sum(value).cast("double") / F.count(F.lit(1)).cast("double")).alias(mean_name))
+    # ``df`` feeds both this branch and the join below; Spark reuses its shuffles for both (seen as
+    # ReusedExchange in the final plan). A null group's mean never matches in the join.
+    means = df.groupBy(group).agg(
+        (F.sum(value).cast("double") / F.count(F.lit(1)).cast("double")).alias(mean_name)
     )
     bounded = fixed_groups
     if bounded_by is not None:
