@@ -125,3 +125,34 @@ def month_predicate(as_of: AsOf, months: int | None) -> Column:
         lo = months_before(as_of, months).date().replace(day=1)
         pred = pred & (c >= F.lit(lo.isoformat()).cast("date"))
     return pred
+
+
+# The subscriber key of every table that carries one (the bucketing column of the co-located layout).
+SUBSCRIBER_KEY: dict[str, str] = {
+    "subscribers": "subscribers_id",
+    "address": "subscribers_id",
+    "calls": "caller_id",
+    "sms_informations": "sender_id",
+    "payments": "subscribers_id",
+    "complaints_and_support_requests": "subscribers_id",
+    "technical_data": "subscribers_id",
+}
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, name: str | None = None) -> str:
+    """Co-located layout: store a subscriber-keyed table as a catalog table bucketed (and sorted) by
+    its subscriber column, ``buckets`` the same for every table.
+
+    Reports then aggregate per subscriber and join the per-subscriber parts with no shuffle: the
+    bucketed scans already satisfy the hash clustering of the group-bys and joins."""
+    key = SUBSCRIBER_KEY[table]
+    name = name or table
+    (
+        df.write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(name)
+    )
+    return name
