@@ -42,7 +42,7 @@ def months_before(value: AsOf, months: int) -> datetime:
 
 
 def up_to(col: str | Column, as_of: AsOf) -> Column:
-    """Facts known at report time: ``col <= as_of`` (later rows are not yet visible)."""
+    """``col <= as_of``: facts up to a time (used by the optional cut of the call enrichment)."""
     c = F.col(col) if isinstance(col, str) else col
     return c <= ts_lit(as_of)
 
@@ -54,4 +54,6 @@ def in_last_months(col: str | Column, as_of: AsOf, months: int) -> Column:
 
 
 def window(col: str | Column, as_of: AsOf, months: int | None) -> Column:
-    return up_to(col, as_of) if months is None else in_last_months(col, as_of, months)
+    """The facts a question reads: its last ``months`` months, or every fact when it names no
+    window (``months=None``; ``as_of`` then only anchors ages and service activity)."""
+    return F.lit(True) if months is None else in_last_months(col, as_of, months)

@@ -28,8 +28,9 @@ def _with(*ctes: str) -> str:
 
 def _usage(as_of: str, months: int | None) -> str:
     def win(col: str) -> str:
-        lo = "" if months is None else f"{col} >= {as_of} - INTERVAL {months} MONTH AND "
-        return f"{lo}{col} <= {as_of}"
+        if months is None:  # no window named: every fact
+            return "TRUE"
+        return f"{col} >= {as_of} - INTERVAL {months} MONTH AND {col} <= {as_of}"
 
     return f"""usage AS (
   SELECT caller_id AS subscribers_id, service_id, call_date AS used_at, 'call' AS kind,
@@ -73,10 +74,6 @@ def _band(birth: str, as_of: str) -> str:
     )
 
 
-def _upto(col: str, as_of: str = A) -> str:
-    return f"{col} <= {as_of}"
-
-
 def _last(col: str, months: int, as_of: str = A) -> str:
     return f"{col} >= {as_of} - INTERVAL {months} MONTH AND {col} <= {as_of}"
 
@@ -84,21 +81,21 @@ def _last(col: str, months: int, as_of: str = A) -> str:
 PAY_TOTALS = f"""pay AS (
   SELECT subscribers_id, COUNT(*) AS payments, CAST(SUM(amount) AS DECIMAL(38,2)) AS amount,
          MAX(payment_date) AS last_payment_date
-  FROM payments WHERE {_upto('payment_date')} GROUP BY subscribers_id)"""
+  FROM payments GROUP BY subscribers_id)"""
 
 CALL_TOTALS = f"""ct AS (
   SELECT caller_id AS subscribers_id, COUNT(*) AS calls, CAST(SUM(call_duration) AS BIGINT) AS seconds
-  FROM calls WHERE {_upto('call_date')} GROUP BY caller_id)"""
+  FROM calls GROUP BY caller_id)"""
 
 COMPLAINTS = f"""cc AS (
   SELECT subscribers_id, COUNT(*) AS complaints
-  FROM complaints_and_support_requests WHERE {_upto('submission_date')} GROUP BY subscribers_id)"""
+  FROM complaints_and_support_requests GROUP BY subscribers_id)"""
 
 SERVICE_AMOUNT = f"""svc_pairs AS (
   SELECT DISTINCT service_id, subscribers_id FROM usage_agg
   WHERE service_id IS NOT NULL AND subscribers_id IS NOT NULL),
 totals AS (
-  SELECT subscribers_id, SUM(amount) AS total FROM payments WHERE {_upto('payment_date')}
+  SELECT subscribers_id, SUM(amount) AS total FROM payments
   GROUP BY subscribers_id),
 per_service AS (
   SELECT p.service_id, COUNT(*) AS subscribers, CAST(SUM(t.total) AS DECIMAL(38,2)) AS amount
@@ -128,7 +125,7 @@ SQL["t02_last_payment"] = _with(
     SELECT payment_id, subscribers_id, payment_date, amount, payment_type_id,
            row_number() OVER (PARTITION BY subscribers_id
                               ORDER BY payment_date DESC NULLS LAST, payment_id DESC) AS rn
-    FROM payments WHERE {_upto('payment_date')}) WHERE rn = 1)"""
+    FROM payments) WHERE rn = 1)"""
 ) + """
 SELECT s.subscribers_id, s.name, s.surname, l.payment_id, l.payment_date, l.amount,
        l.payment_type_id, m.name AS payment_method
@@ -147,7 +144,7 @@ SQL["t04_calls_by_direction"] = _with(
     f"""agg AS (
   SELECT caller_id AS subscribers_id, call_type AS direction, COUNT(*) AS calls,
          CAST(SUM(call_duration) AS BIGINT) AS seconds
-  FROM calls WHERE {_upto('call_date')} GROUP BY caller_id, call_type)"""
+  FROM calls GROUP BY caller_id, call_type)"""
 ) + f"""
 SELECT s.subscribers_id, s.name, s.surname, a.direction, {_z('a.calls', 'calls')}, {_z('a.seconds', 'seconds')}
 FROM subscribers s LEFT JOIN agg a ON a.subscribers_id = s.subscribers_id
@@ -165,7 +162,7 @@ SQL["t06_calls_by_kind"] = _with() + f"""
 SELECT a.call_type_id, k.name AS kind, a.subscribers, a.seconds
 FROM (SELECT call_type_id, COUNT(DISTINCT caller_id) AS subscribers,
              CAST(SUM(call_duration) AS BIGINT) AS seconds
-      FROM calls WHERE {_upto('call_date')} GROUP BY call_type_id) a
+      FROM calls GROUP BY call_type_id) a
 LEFT JOIN call_type k ON k.call_type_id = a.call_type_id
 """
 
@@ -231,7 +228,7 @@ SQL["t12_tariff_average"] = _with(
     f"""monthly AS (
   SELECT subscribers_id, SUM(month_total) AS total, COUNT(*) AS months
   FROM (SELECT subscribers_id, date_trunc('month', payment_date) AS m, SUM(amount) AS month_total
-        FROM payments WHERE {_upto('payment_date')} GROUP BY subscribers_id, date_trunc('month', payment_date))
+        FROM payments GROUP BY subscribers_id, date_trunc('month', payment_date))
   GROUP BY subscribers_id),
 paid AS (
   SELECT p.tariff_id, CAST(SUM(m.total) AS DOUBLE) / CAST(SUM(m.months) AS DOUBLE) AS avg_monthly_payment
@@ -281,7 +278,7 @@ SQL["t17_above_tariff_average"] = _with(
     PAIRS,
     f"""tot AS (
   SELECT subscribers_id, CAST(SUM(amount) AS DECIMAL(38,2)) AS total_paid FROM payments
-  WHERE {_upto('payment_date')} GROUP BY subscribers_id),
+  GROUP BY subscribers_id),
 per AS (
   SELECT s.subscribers_id, s.name, s.surname, p.tariff_id, {_z('t.total_paid', 'total_paid', M)}
   FROM subscribers s

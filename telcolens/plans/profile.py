@@ -57,7 +57,6 @@ def s02_service_performance(t: Tables, as_of: AsOf) -> DataFrame:
     # user's payment total (counted once per service used, as in T3).
     totals = (
         t["payments"]
-        .where(up_to("payment_date", as_of))
         .groupBy("subscribers_id")
         .agg(F.sum("amount").alias("total"))
     )

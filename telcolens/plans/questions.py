@@ -5,8 +5,9 @@ Every function takes the tables (a mapping name -> DataFrame in the data model's
 
 1. the grain is ``subscribers_id``; names are attached after aggregation, never grouped on;
 2. "each subscriber" questions start from all subscribers and fill counts and sums with 0;
-3. facts later than ``as_of`` are not yet known; "last n months" is ``[as_of - n months, as_of]``;
-   a fact whose event time is null has no known time and is left out;
+3. "last n months" is ``[as_of - n months, as_of]``, both ends inclusive (a fact without a time is
+   outside every window); a question that names no window reads every fact, and ``as_of`` then
+   only anchors ages and service activity;
 4. each fact is filtered, aggregated to the join key, and only then joined (no fan-out).
 """
 
@@ -25,7 +26,7 @@ from telcolens.functions.people import (
     service_active,
     zero,
 )
-from telcolens.functions.timewin import AsOf, as_of_text, in_last_months, up_to
+from telcolens.functions.timewin import AsOf, as_of_text, in_last_months, window
 from telcolens.operators.joins import attach_names, fits, for_each_subscriber, lookup
 from telcolens.operators.ranking import compare_to_group_mean, latest_per_key, top_k
 from telcolens.operators.rollup import ordered_concat, ordered_concat_parts
@@ -55,7 +56,7 @@ def _usage_agg(t: Tables, as_of: AsOf, months: int | None = None) -> DataFrame:
 def _payment_totals(t: Tables, as_of: AsOf, months: int | None = None) -> DataFrame:
     """Per subscriber: number of payments, amount, last payment time."""
     p = t["payments"]
-    p = p.where(up_to("payment_date", as_of) if months is None else in_last_months("payment_date", as_of, months))
+    p = p.where(window("payment_date", as_of, months))
     return p.groupBy("subscribers_id").agg(
         F.count(F.lit(1)).alias("payments"),
         money_total("amount").alias("amount"),
@@ -66,7 +67,6 @@ def _payment_totals(t: Tables, as_of: AsOf, months: int | None = None) -> DataFr
 def _calls_totals(t: Tables, as_of: AsOf) -> DataFrame:
     return (
         t["calls"]
-        .where(up_to("call_date", as_of))
         .groupBy(F.col("caller_id").alias("subscribers_id"))
         .agg(F.count(F.lit(1)).alias("calls"), F.sum("call_duration").cast("bigint").alias("seconds"))
     )
@@ -75,7 +75,6 @@ def _calls_totals(t: Tables, as_of: AsOf) -> DataFrame:
 def _complaint_counts(t: Tables, as_of: AsOf) -> DataFrame:
     return (
         t["complaints_and_support_requests"]
-        .where(up_to("submission_date", as_of))
         .groupBy("subscribers_id")
         .agg(F.count(F.lit(1)).alias("complaints"))
     )
@@ -97,7 +96,7 @@ def t01_service_usage_3m(t: Tables, as_of: AsOf, months: int = 3) -> DataFrame:
 
 def t02_last_payment(t: Tables, as_of: AsOf) -> DataFrame:
     """Each subscriber's last payment (newest date, ties by highest payment id) with method."""
-    pay = t["payments"].where(up_to("payment_date", as_of)).select(
+    pay = t["payments"].select(
         "payment_id", "subscribers_id", "payment_date", "amount", "payment_type_id"
     )
     last = latest_per_key(
@@ -138,7 +137,6 @@ def _service_users_amount(t: Tables, as_of: AsOf) -> DataFrame:
     )
     totals = (
         t["payments"]
-        .where(up_to("payment_date", as_of))
         .groupBy("subscribers_id")
         .agg(F.sum("amount").alias("total"))
     )
@@ -153,7 +151,6 @@ def t04_calls_by_direction(t: Tables, as_of: AsOf) -> DataFrame:
     """T4: each subscriber's calls and seconds per call direction; non-callers get 0, 0, null."""
     agg = (
         t["calls"]
-        .where(up_to("call_date", as_of))
         .groupBy(F.col("caller_id").alias("subscribers_id"), F.col("call_type").alias("direction"))
         .agg(F.count(F.lit(1)).alias("calls"), F.sum("call_duration").cast("bigint").alias("seconds"))
     )
@@ -178,7 +175,6 @@ def t06_calls_by_kind(t: Tables, as_of: AsOf) -> DataFrame:
     """Per call kind, the number of distinct callers and the total seconds."""
     agg = (
         t["calls"]
-        .where(up_to("call_date", as_of))
         .groupBy("call_type_id")
         .agg(
             F.count_distinct("caller_id").alias("subscribers"),
@@ -287,7 +283,6 @@ def t12_tariff_average(t: Tables, as_of: AsOf) -> DataFrame:
     """
     monthly = (
         t["payments"]
-        .where(up_to("payment_date", as_of))
         .groupBy("subscribers_id", F.date_trunc("month", "payment_date").alias("month"))
         .agg(F.sum("amount").alias("month_total"))
         .groupBy("subscribers_id")
@@ -359,7 +354,6 @@ def t17_above_tariff_average(t: Tables, as_of: AsOf) -> DataFrame:
     pairs = subscriber_tariff(_usage_agg(t, as_of), t["services"]).select("subscribers_id", "tariff_id")
     totals = (
         t["payments"]
-        .where(up_to("payment_date", as_of))
         .groupBy("subscribers_id")
         .agg(money_total("amount").alias("total_paid"))
     )

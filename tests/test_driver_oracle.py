@@ -67,3 +67,23 @@ def test_results_do_not_depend_on_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     for n, results in seen.items():
         assert results[0] == results[1] == results[2], n
+
+
+# Row counts the survey probed on the sf0.01 benchmark tables for its readings.
+SURVEY_ROWS_SF001 = {
+    "t01_service_usage_3m": 9216, "t02_last_payment": 1500, "t03_active_service_totals": 992,
+    "t04_calls_by_direction": 2998, "t05_tariff_fee_calls": 8940, "t06_calls_by_kind": 3,
+    "t07_inactive_recent_payers": 86, "t08_payments_services_6m": 1445, "t09_top10_complainers": 10,
+    "t10_sms_count_contents_12m": 1500, "t11_calls_payments": 1500, "t12_tariff_average": 6,
+    "t13_sms_detail_12m": 5597, "t14_all_payments_services_6m": 1500, "t15_payments_complaints": 1500,
+    "t16_age_gender": 20, "t17_above_tariff_average": 8940, "t18_above_age_average": 1500,
+}
+
+
+def test_survey_probe_counts(spark):
+    from conftest import ORACLE_SF
+
+    got = {n: QUERIES[n](spark, ORACLE_SF).count() for n in SURVEY_ROWS_SF001}
+    assert got == SURVEY_ROWS_SF001
+    assert QUERIES["t17_above_tariff_average"](spark, ORACLE_SF).where("above_tariff_avg").count() == 4237
+    assert QUERIES["t18_above_age_average"](spark, ORACLE_SF).where("above_band_avg").count() == 715
