@@ -64,3 +64,31 @@ def test_bands(spark):
     got = [r["b"] for r in df.select(age_band(F.col("a")).alias("b")).collect()]
     assert got == ["unknown", "18 and below", "18 and below", "19-30", "19-30", "31-50", "31-50",
                    "51 and above", "51 and above"]
+
+
+def test_age_spark_equals_oracle_sql_on_month_ends(spark):
+    """The DataFrame age (months_between) and the oracle's calendar formula agree on every pair of
+    a grid of birth dates and report times, month ends and 29 February included."""
+    import duckdb
+
+    from telcolens.plans.oracle import _age
+
+    births = [date(y, m, d) for y in (1996, 2000, 2001) for m, d in
+              [(1, 31), (2, 28), (2, 29), (3, 1), (3, 31), (4, 30), (6, 15), (12, 31)]
+              if not (m == 2 and d == 29 and y % 4)]
+    as_ofs = [datetime(y, m, d, h) for y, m, d, h in
+              [(2023, 2, 28, 0), (2024, 2, 28, 0), (2024, 2, 29, 0), (2024, 2, 29, 13), (2023, 3, 31, 0),
+               (2024, 4, 30, 0), (2024, 6, 14, 23), (2024, 6, 15, 0), (2024, 12, 31, 0), (2025, 1, 1, 0)]]
+    pairs = [(b, a) for b in births for a in as_ofs]
+    spark_ages = []
+    for a in as_ofs:
+        df = spark.createDataFrame([(b,) for b in births], "b date")
+        spark_ages += [(b, a, r["x"]) for b, r in zip(births, df.select(
+            age_years("b", a.isoformat(sep=" ")).alias("x")).collect())]
+    con = duckdb.connect()
+    duck = {}
+    for b, a in pairs:
+        birth, report = "DATE '" + b.isoformat() + "'", "TIMESTAMP '" + a.isoformat(sep=" ") + "'"
+        sql = "SELECT " + _age(birth, report)
+        duck[(b, a)] = con.execute(sql).fetchone()[0]
+    assert [(b, a, x) for b, a, x in spark_ages if duck[(b, a)] != x] == []
