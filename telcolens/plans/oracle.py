@@ -78,20 +78,20 @@ def _last(col: str, months: int, as_of: str = A) -> str:
     return f"{col} >= {as_of} - INTERVAL {months} MONTH AND {col} <= {as_of}"
 
 
-PAY_TOTALS = f"""pay AS (
+PAY_TOTALS = """pay AS (
   SELECT subscribers_id, COUNT(*) AS payments, CAST(SUM(amount) AS DECIMAL(38,2)) AS amount,
          MAX(payment_date) AS last_payment_date
   FROM payments GROUP BY subscribers_id)"""
 
-CALL_TOTALS = f"""ct AS (
+CALL_TOTALS = """ct AS (
   SELECT caller_id AS subscribers_id, COUNT(*) AS calls, CAST(SUM(call_duration) AS BIGINT) AS seconds
   FROM calls GROUP BY caller_id)"""
 
-COMPLAINTS = f"""cc AS (
+COMPLAINTS = """cc AS (
   SELECT subscribers_id, COUNT(*) AS complaints
   FROM complaints_and_support_requests GROUP BY subscribers_id)"""
 
-SERVICE_AMOUNT = f"""svc_pairs AS (
+SERVICE_AMOUNT = """svc_pairs AS (
   SELECT DISTINCT service_id, subscribers_id FROM usage_agg
   WHERE service_id IS NOT NULL AND subscribers_id IS NOT NULL),
 totals AS (
@@ -120,7 +120,7 @@ LEFT JOIN subscribers s ON s.subscribers_id = u.subscribers_id
 """
 
 SQL["t02_last_payment"] = _with(
-    f"""last_pay AS (
+    """last_pay AS (
   SELECT * FROM (
     SELECT payment_id, subscribers_id, payment_date, amount, payment_type_id,
            row_number() OVER (PARTITION BY subscribers_id
@@ -141,7 +141,7 @@ WHERE v.deactivation_date IS NULL OR v.deactivation_date > {A}
 """
 
 SQL["t04_calls_by_direction"] = _with(
-    f"""agg AS (
+    """agg AS (
   SELECT caller_id AS subscribers_id, call_type AS direction, COUNT(*) AS calls,
          CAST(SUM(call_duration) AS BIGINT) AS seconds
   FROM calls GROUP BY caller_id, call_type)"""
@@ -158,7 +158,7 @@ LEFT JOIN pairs p ON p.subscribers_id = s.subscribers_id
 LEFT JOIN tariff_informations t ON t.tariff_id = p.tariff_id
 """
 
-SQL["t06_calls_by_kind"] = _with() + f"""
+SQL["t06_calls_by_kind"] = _with() + """
 SELECT a.call_type_id, k.name AS kind, a.subscribers, a.seconds
 FROM (SELECT call_type_id, COUNT(DISTINCT caller_id) AS subscribers,
              CAST(SUM(call_duration) AS BIGINT) AS seconds
@@ -225,7 +225,7 @@ LEFT JOIN pay p ON p.subscribers_id = s.subscribers_id
 SQL["t12_tariff_average"] = _with(
     _usage(A, None),
     PAIRS,
-    f"""monthly AS (
+    """monthly AS (
   SELECT subscribers_id, SUM(month_total) AS total, COUNT(*) AS months
   FROM (SELECT subscribers_id, date_trunc('month', payment_date) AS m, SUM(amount) AS month_total
         FROM payments GROUP BY subscribers_id, date_trunc('month', payment_date))
