@@ -25,6 +25,22 @@ RECOMMENDED_CONF: dict[str, str] = {
 }
 
 
+def cluster_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the expected shuffle volume of the biggest stage.
+
+    Shuffle partitions are chosen so that each holds about ``target_partition_bytes`` before AQE
+    coalesces the small ones (so a partition fits in one task's execution memory without heavy
+    spill); scans read 512 MB splits; AQE splits a partition over 5x the median and 256 MB."""
+    partitions = max(200, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }
+
+
 def build_session(
     master: str = "local[*]",
     shuffle_partitions: int = 8,
