@@ -15,6 +15,7 @@ the driver's types (e.g. a tariff id is the part type text), which the reports d
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,10 +60,6 @@ DRIVER_FKS: tuple[tuple[str, str, str, str], ...] = (
 )
 
 
-def _shifted(ts: str) -> F.Column:
-    return F.col(ts) - F.expr(f"INTERVAL {SMS_SHIFT_MONTHS} MONTHS")
-
-
 # Declared schemas of the driver files that the mapping reads (never inferred: no footer jobs).
 RAW_SCHEMAS: dict[str, str] = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
@@ -110,51 +107,59 @@ class DriverTables(Mapping[str, DataFrame]):
         return len(_BUILDERS)
 
 
+_DEFINED: "weakref.WeakKeyDictionary[SparkSession, dict[str, DriverTables]]" = weakref.WeakKeyDictionary()
+
+
 def driver_tables(spark: SparkSession, sf_dir: str) -> DriverTables:
-    return DriverTables(spark, sf_dir)
+    """The adapted tables of ``sf_dir``, defined once per session (like registering views): later
+    queries reuse the same lazy definitions. Only plans are kept, never data; a new session gets
+    its own definitions."""
+    per_session = _DEFINED.setdefault(spark, {})
+    if sf_dir not in per_session:
+        per_session[sf_dir] = DriverTables(spark, sf_dir)
+    return per_session[sf_dir]
+
+
+# Each adapted table is one projection written as SQL expressions (``selectExpr``): one call into the
+# JVM per table instead of one per column expression, which keeps building a query cheap.
 
 
 def _subscribers(d: DriverTables) -> DataFrame:
-    return d.raw("customer").select(
-        F.col("c_custkey").alias("subscribers_id"),
-        F.col("c_name").alias("name"),
-        F.lit(None).cast("string").alias("surname"),
-        F.date_add(
-            F.lit(BIRTH_ORIGIN).cast("date"),
-            ((F.col("c_custkey") * BIRTH_STEP) % BIRTH_SPAN_DAYS).cast("int"),
-        ).alias("birth_date"),
-        F.col("c_mktsegment").alias("gender"),
-        F.col("c_name").alias("phone_number"),
-        F.when(F.col("c_acctbal") < 0, F.lit("PASSIVE")).otherwise(F.lit("ACTIVE")).alias("status"),
+    return d.raw("customer").selectExpr(
+        "c_custkey AS subscribers_id",
+        "c_name AS name",
+        "CAST(NULL AS STRING) AS surname",
+        f"date_add(DATE '{BIRTH_ORIGIN}', CAST((c_custkey * {BIRTH_STEP}) % {BIRTH_SPAN_DAYS} AS INT)) AS birth_date",
+        "c_mktsegment AS gender",
+        "c_name AS phone_number",
+        "CASE WHEN c_acctbal < 0 THEN 'PASSIVE' ELSE 'ACTIVE' END AS status",
     )
 
 
 def _payments(d: DriverTables) -> DataFrame:
-    return d.raw("orders").select(
-        F.col("o_orderkey").alias("payment_id"),
-        F.col("o_custkey").alias("subscribers_id"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
-        F.col("o_orderpriority").alias("payment_type_id"),
-        F.col("o_orderdate").alias("payment_date"),
+    return d.raw("orders").selectExpr(
+        "o_orderkey AS payment_id",
+        "o_custkey AS subscribers_id",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS amount",
+        "o_orderpriority AS payment_type_id",
+        "o_orderdate AS payment_date",
     )
 
 
 def _payment_method_type(d: DriverTables) -> DataFrame:
     return (
-        d.raw("orders").select(F.col("o_orderpriority").alias("payment_type_id"))
-        .distinct()
-        .withColumn("name", F.col("payment_type_id"))
+        d.raw("orders").selectExpr("o_orderpriority AS payment_type_id").distinct()
+        .selectExpr("payment_type_id", "payment_type_id AS name")
     )
 
 
 def _services(d: DriverTables) -> DataFrame:
-    return d.raw("part").select(
-        F.col("p_partkey").alias("service_id"),
-        F.col("p_name").alias("service_name"),
-        F.when(F.col("p_size") <= SERVICE_ACTIVE_MAX_SIZE, F.lit(None).cast("timestamp_ntz"))
-        .otherwise(F.lit(SERVICE_DEACTIVATED_AT).cast("timestamp_ntz"))
-        .alias("deactivation_date"),
-        F.col("p_type").alias("tariff_id"),
+    return d.raw("part").selectExpr(
+        "p_partkey AS service_id",
+        "p_name AS service_name",
+        f"CASE WHEN p_size <= {SERVICE_ACTIVE_MAX_SIZE} THEN CAST(NULL AS TIMESTAMP_NTZ) "
+        f"ELSE TIMESTAMP_NTZ '{SERVICE_DEACTIVATED_AT}' END AS deactivation_date",
+        "p_type AS tariff_id",
     )
 
 
@@ -162,72 +167,66 @@ def _tariff_informations(d: DriverTables) -> DataFrame:
     return (
         d.raw("part").groupBy(F.col("p_type").alias("tariff_id"))
         .agg(F.min("p_retailprice").cast("decimal(18,4)").alias("monthly_subscription"))
-        .select(
-            "tariff_id",
-            F.col("tariff_id").alias("tariff_name"),
-            "monthly_subscription",
-            F.lit("ACTIVE").alias("status"),
-        )
+        .selectExpr("tariff_id", "tariff_id AS tariff_name", "monthly_subscription", "'ACTIVE' AS status")
     )
 
 
 def _calls(d: DriverTables) -> DataFrame:
-    orders = d.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return d.raw("lineitem").join(orders, "l_orderkey").select(
-        F.col("l_orderkey").alias("order_key"),
-        F.col("l_linenumber").alias("line_number"),
-        F.col("o_custkey").alias("caller_id"),
-        F.col("l_shipdate").alias("call_date"),
-        F.col("l_quantity").cast("bigint").alias("call_duration"),
-        F.lit(None).cast("string").alias("receiver_phone"),
-        ((F.col("o_custkey") * RECEIVER_STEP + RECEIVER_OFFSET) % RECEIVER_SPAN).alias(
-            "receiver_subscriber_id"
-        ),
-        F.col("l_returnflag").alias("call_type_id"),
-        F.col("l_partkey").alias("service_id"),
-        F.col("l_linestatus").alias("call_type"),
+    orders = d.raw("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
+    return d.raw("lineitem").join(orders, "l_orderkey").selectExpr(
+        "l_orderkey AS order_key",
+        "l_linenumber AS line_number",
+        "o_custkey AS caller_id",
+        "l_shipdate AS call_date",
+        "CAST(l_quantity AS BIGINT) AS call_duration",
+        "CAST(NULL AS STRING) AS receiver_phone",
+        f"(o_custkey * {RECEIVER_STEP} + {RECEIVER_OFFSET}) % {RECEIVER_SPAN} AS receiver_subscriber_id",
+        "l_returnflag AS call_type_id",
+        "l_partkey AS service_id",
+        "l_linestatus AS call_type",
     )
 
 
 def _call_type(d: DriverTables) -> DataFrame:
     return (
-        d.raw("lineitem").select(F.col("l_returnflag").alias("call_type_id"))
-        .distinct()
-        .withColumn("name", F.col("call_type_id"))
+        d.raw("lineitem").selectExpr("l_returnflag AS call_type_id").distinct()
+        .selectExpr("call_type_id", "call_type_id AS name")
     )
 
 
 def _sms_events(d: DriverTables) -> DataFrame:
-    return d.raw("events").where(F.col("event_type") != F.lit("error"))
+    return d.raw("events").where("event_type <> 'error'")
+
+
+SHIFTED_TS = f"ts - INTERVAL {SMS_SHIFT_MONTHS} MONTHS"
 
 
 def _sms_informations(d: DriverTables) -> DataFrame:
-    return _sms_events(d).select(
-        F.col("event_id").alias("sms_id"),
-        F.col("user_id").alias("sender_id"),
-        _shifted("ts").alias("sms_date"),
-        F.lit(None).cast("string").alias("receiver_phone"),
-        F.col("props").alias("sms_content"),
-        F.col("event_type").alias("sms_type_id"),
-        (F.col("event_id") % SMS_SERVICES).alias("service_id"),
+    return _sms_events(d).selectExpr(
+        "event_id AS sms_id",
+        "user_id AS sender_id",
+        f"{SHIFTED_TS} AS sms_date",
+        "CAST(NULL AS STRING) AS receiver_phone",
+        "props AS sms_content",
+        "event_type AS sms_type_id",
+        f"event_id % {SMS_SERVICES} AS service_id",
     )
 
 
 def _sms_types(d: DriverTables) -> DataFrame:
     return (
-        _sms_events(d).select(F.col("event_type").alias("sms_type_id"))
-        .distinct()
-        .withColumn("name", F.col("sms_type_id"))
+        _sms_events(d).selectExpr("event_type AS sms_type_id").distinct()
+        .selectExpr("sms_type_id", "sms_type_id AS name")
     )
 
 
 def _complaints(d: DriverTables) -> DataFrame:
-    return d.raw("events").where(F.col("event_type") == F.lit("error")).select(
-        F.col("event_id").alias("complaint_id"),
-        F.col("user_id").alias("subscribers_id"),
-        F.lit(None).cast("bigint").alias("complaint_type_id"),
-        F.lit("UNSOLVED").alias("status"),
-        _shifted("ts").alias("submission_date"),
+    return d.raw("events").where("event_type = 'error'").selectExpr(
+        "event_id AS complaint_id",
+        "user_id AS subscribers_id",
+        "CAST(NULL AS BIGINT) AS complaint_type_id",
+        "'UNSOLVED' AS status",
+        f"{SHIFTED_TS} AS submission_date",
     )
 
 
