@@ -48,12 +48,12 @@ def service_active(as_of: AsOf, deactivation: str = "deactivation_date") -> Colu
 
 def zero(col: str, dtype: str = "bigint") -> Column:
     """H6: null -> 0 for counts and sums after a left join."""
-    return F.coalesce(F.col(col), F.lit(0).cast(dtype)).alias(col)
+    return F.expr(f"coalesce(`{col}`, CAST(0 AS {dtype})) AS `{col}`")
 
 
 def money_total(col: str) -> Column:
     """Money sums are decimal(18,2) summed exactly and widened to decimal(38,2)."""
-    return F.sum(col).cast("decimal(38,2)")
+    return F.expr(f"CAST(sum(`{col}`) AS DECIMAL(38,2))")
 
 
 def strictly_above(value: Column, reference: Column) -> Column:

@@ -29,7 +29,7 @@ def as_of_text(value: AsOf) -> str:
 
 def ts_lit(value: AsOf) -> Column:
     """A timestamp_ntz literal (time-zone free)."""
-    return F.lit(as_datetime(value).isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.expr(f"TIMESTAMP_NTZ '{as_datetime(value).isoformat(sep=' ')}'")
 
 
 def months_before(value: AsOf, months: int) -> datetime:

@@ -61,41 +61,37 @@ def fk_summary(
         by_child.setdefault(child, []).append((i, column))
 
     def tagged(df: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
-        cells = F.array(
-            *[F.struct(F.lit(i).alias("fk"), F.col(c).cast("string").alias("key")) for i, c in items]
-        )
-        return df.select(F.explode(cells).alias("c")).select("c.fk", "c.key")
+        cells = ", ".join(f"{i}, CAST(`{c}` AS STRING)" for i, c in items)
+        return df.selectExpr(f"stack({len(items)}, {cells}) AS (fk, key)")
 
     child_keys = reduce(
         DataFrame.unionByName, [tagged(tables[child], items) for child, items in by_child.items()]
     )
-    counts = child_keys.where(F.col("key").isNotNull()).groupBy("fk", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = child_keys.where("key IS NOT NULL").groupBy("fk", "key").agg(F.count(F.lit(1)).alias("n_rows"))
     parent_keys = reduce(
         DataFrame.unionByName,
         [
-            tables[parent].select(F.lit(i).alias("fk"), F.col(pcol).cast("string").alias("key"))
+            tables[parent].selectExpr(f"{i} AS fk", f"CAST(`{pcol}` AS STRING) AS key", "true AS _parent")
             for i, (_, _, parent, pcol) in enumerate(fks)
         ],
     )
     # A left join + "no parent" filter rather than an anti join: Spark would push an anti join below
     # the aggregate and the union (onto raw child rows, with the parent keys copied per child).
     orphans = (
-        counts.join(parent_keys.withColumn("_parent", F.lit(True)), ["fk", "key"], "left")
-        .where(F.col("_parent").isNull())
+        counts.join(parent_keys, ["fk", "key"], "left")
+        .where("_parent IS NULL")
         .groupBy("fk")
         .agg(F.sum("n_rows").cast("bigint").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))
     )
     # One metadata row per foreign key (bounded by the list of keys), so clean keys report zeros.
-    meta = spark.createDataFrame(
-        [(i, c, col, p) for i, (c, col, p, _) in enumerate(fks)],
-        "fk int, table_name string, column_name string, parent_table string",
-    )
-    return F.broadcast(meta).join(orphans, "fk", "left").select(
+    values = ", ".join(f"({i}, '{c}', '{col}', '{p}')" for i, (c, col, p, _) in enumerate(fks))
+    meta = spark.sql(f"SELECT * FROM VALUES {values} AS m(fk, table_name, column_name, parent_table)")
+    return F.broadcast(meta).join(orphans, "fk", "left").selectExpr(
         "table_name",
         "column_name",
         "parent_table",
-        F.coalesce("orphan_rows", F.lit(0).cast("bigint")).alias("orphan_rows"),
-        F.coalesce("orphan_keys", F.lit(0).cast("bigint")).alias("orphan_keys"),
+        "coalesce(orphan_rows, CAST(0 AS BIGINT)) AS orphan_rows",
+        "coalesce(orphan_keys, CAST(0 AS BIGINT)) AS orphan_keys",
     )
 
 
@@ -122,7 +118,8 @@ def domain_checks(tables: Mapping[str, DataFrame]) -> list[tuple[str, str, str,
 def domain_violations(
     tables: Mapping[str, DataFrame], checks: list[tuple[str, str, str, int]] | None = None
 ) -> DataFrame:
-    """(table_name, column_name, rule, limit_value, violations) with one pass per table."""
+    """(table_name, column_name, rule, limit_value, violations) with one pass per table: one
+    aggregate row of counts per table, unpivoted with ``stack``."""
     checks = domain_checks(tables) if checks is None else checks
     by_table: dict[str, list[tuple[str, str, int]]] = {}
     for table, column, rule, limit in checks:
@@ -131,29 +128,20 @@ def domain_violations(
     for table, items in by_table.items():
         aggs = []
         for i, (column, rule, limit) in enumerate(items):
-            c = F.col(column)
             if rule == "max_length":
-                bad = F.length(c) > limit  # characters
+                bad = f"length(`{column}`) > {limit}"  # characters
             elif rule == "max_bytes":
-                bad = F.octet_length(c) > limit  # UTF-8 bytes
+                bad = f"octet_length(`{column}`) > {limit}"  # UTF-8 bytes
             else:
-                bad = F.abs(c) >= F.lit(10**limit)
-            aggs.append(F.count_if(bad).alias(f"v{i}"))
-        row = tables[table].agg(*aggs)
-        cells = F.array(
-            *[
-                F.struct(
-                    F.lit(column).alias("column_name"),
-                    F.lit(rule).alias("rule"),
-                    F.lit(limit).cast("bigint").alias("limit_value"),
-                    F.col(f"v{i}").alias("violations"),
-                )
-                for i, (column, rule, limit) in enumerate(items)
-            ]
+                bad = f"abs(`{column}`) >= {10**limit}"
+            aggs.append(F.expr(f"count_if({bad}) AS v{i}"))
+        cells = ", ".join(
+            f"'{column}', '{rule}', CAST({limit} AS BIGINT), v{i}" for i, (column, rule, limit) in enumerate(items)
         )
         parts.append(
-            row.select(F.explode(cells).alias("c")).select(
-                F.lit(table).alias("table_name"), "c.column_name", "c.rule", "c.limit_value", "c.violations"
+            tables[table].agg(*aggs).selectExpr(
+                f"'{table}' AS table_name",
+                f"stack({len(items)}, {cells}) AS (column_name, rule, limit_value, violations)",
             )
         )
     return reduce(DataFrame.unionByName, parts)
