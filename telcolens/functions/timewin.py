@@ -9,7 +9,7 @@ from __future__ import annotations
 import calendar
 from datetime import date, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AsOf = datetime | str
@@ -57,3 +57,31 @@ def window(col: str | Column, as_of: AsOf, months: int | None) -> Column:
     """The facts a question reads: its last ``months`` months, or every fact when it names no
     window (``months=None``; ``as_of`` then only anchors ages and service activity)."""
     return F.lit(True) if months is None else in_last_months(col, as_of, months)
+
+
+# Partition column of fact tables written by ``sources.load.append``: first day of the event month.
+MONTH_COLUMN = "event_month"
+
+
+def month_predicate(as_of: AsOf, months: int | None) -> Column:
+    """Partition filter covering ``[as_of - n months, as_of]`` (or everything up to ``as_of``'s
+    month): a timestamp filter alone does not prune the derived month column."""
+    hi = as_datetime(as_of).date().replace(day=1)
+    c = F.col(MONTH_COLUMN)
+    pred = c <= F.lit(hi.isoformat()).cast("date")
+    if months is not None:
+        lo = months_before(as_of, months).date().replace(day=1)
+        pred = pred & (c >= F.lit(lo.isoformat()).cast("date"))
+    return pred
+
+
+def restrict(df: DataFrame, col: str, as_of: AsOf, months: int | None) -> DataFrame:
+    """The rows of a fact table a question reads (``window``). On the month-partitioned layout
+    (an ``event_month`` column) the matching partition predicate is added, so only the window's
+    months are listed and read."""
+    if months is None:
+        return df
+    out = df.where(in_last_months(col, as_of, months))
+    if MONTH_COLUMN in df.columns:
+        out = out.where(month_predicate(as_of, months))
+    return out

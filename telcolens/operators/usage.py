@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telcolens.functions.timewin import AsOf, window
+from telcolens.functions.timewin import AsOf, restrict
 
 KIND_CALL = "call"
 KIND_SMS = "sms"
@@ -19,14 +19,14 @@ KIND_SMS = "sms"
 
 def usage_union(calls: DataFrame, sms: DataFrame, as_of: AsOf, months: int | None = None) -> DataFrame:
     """G1: (subscribers_id, service_id, used_at, kind, seconds) for calls and SMS in the window."""
-    c = calls.where(window("call_date", as_of, months)).select(
+    c = restrict(calls, "call_date", as_of, months).select(
         F.col("caller_id").alias("subscribers_id"),
         "service_id",
         F.col("call_date").alias("used_at"),
         F.lit(KIND_CALL).alias("kind"),
         F.col("call_duration").cast("bigint").alias("seconds"),
     )
-    s = sms.where(window("sms_date", as_of, months)).select(
+    s = restrict(sms, "sms_date", as_of, months).select(
         F.col("sender_id").alias("subscribers_id"),
         "service_id",
         F.col("sms_date").alias("used_at"),

@@ -26,7 +26,7 @@ from telcolens.functions.people import (
     service_active,
     zero,
 )
-from telcolens.functions.timewin import AsOf, as_of_text, in_last_months, window
+from telcolens.functions.timewin import AsOf, as_of_text, restrict
 from telcolens.operators.joins import attach_names, fits, for_each_subscriber, lookup
 from telcolens.operators.ranking import compare_to_group_mean, latest_per_key, top_k
 from telcolens.operators.rollup import ordered_concat, ordered_concat_parts
@@ -56,7 +56,7 @@ def _usage_agg(t: Tables, as_of: AsOf, months: int | None = None) -> DataFrame:
 def _payment_totals(t: Tables, as_of: AsOf, months: int | None = None) -> DataFrame:
     """Per subscriber: number of payments, amount, last payment time."""
     p = t["payments"]
-    p = p.where(window("payment_date", as_of, months))
+    p = restrict(p, "payment_date", as_of, months)
     return p.groupBy("subscribers_id").agg(
         F.count(F.lit(1)).alias("payments"),
         money_total("amount").alias("amount"),
@@ -188,7 +188,7 @@ def t06_calls_by_kind(t: Tables, as_of: AsOf) -> DataFrame:
 def t07_inactive_recent_payers(t: Tables, as_of: AsOf, months: int = 6) -> DataFrame:
     """Subscribers who are not active yet paid in the last 6 months; one row per payment."""
     subs = t["subscribers"].where(not_active("status")).select(*NAMES, "status")
-    pay = t["payments"].where(in_last_months("payment_date", as_of, months)).select(
+    pay = restrict(t["payments"], "payment_date", as_of, months).select(
         "payment_id", "subscribers_id", "payment_date"
     )
     return pay.join(subs, "subscribers_id").select(*NAMES, "status", "payment_id", "payment_date")
@@ -196,8 +196,7 @@ def t07_inactive_recent_payers(t: Tables, as_of: AsOf, months: int = 6) -> DataF
 
 def _payments_services(t: Tables, as_of: AsOf, months: int) -> tuple[DataFrame, DataFrame]:
     pay = (
-        t["payments"]
-        .where(in_last_months("payment_date", as_of, months))
+        restrict(t["payments"], "payment_date", as_of, months)
         .groupBy("subscribers_id")
         .agg(money_total("amount").alias("amount"))
     )
@@ -232,8 +231,7 @@ def t10_sms_count_contents_12m(t: Tables, as_of: AsOf, months: int = 12) -> Data
     """Each subscriber's SMS count and contents of the last 12 months, joined by '; ' oldest
     first (ties by SMS id); null contents when there are none."""
     sms = (
-        t["sms_informations"]
-        .where(in_last_months("sms_date", as_of, months))
+        restrict(t["sms_informations"], "sms_date", as_of, months)
         .select(F.col("sender_id").alias("subscribers_id"), "sms_content", "sms_date", "sms_id")
     )
     roll = ordered_concat(
@@ -250,8 +248,7 @@ def t10_sms_contents_by_hour_12m(t: Tables, as_of: AsOf, months: int = 12) -> Da
     gives the T10 text. No row holds more than one hour of one subscriber, so a sender with a third
     of all SMS is spread over many rows and tasks."""
     sms = (
-        t["sms_informations"]
-        .where(in_last_months("sms_date", as_of, months))
+        restrict(t["sms_informations"], "sms_date", as_of, months)
         .select(F.col("sender_id").alias("subscribers_id"), "sms_content", "sms_date", "sms_id")
     )
     parts = ordered_concat_parts(
@@ -305,7 +302,7 @@ def t12_tariff_average(t: Tables, as_of: AsOf) -> DataFrame:
 def t13_sms_detail_12m(t: Tables, as_of: AsOf, months: int = 12) -> DataFrame:
     """Each subscriber's SMS of the last 12 months with content and kind; subscribers
     without SMS appear once with nulls."""
-    sms = t["sms_informations"].where(in_last_months("sms_date", as_of, months)).select(
+    sms = restrict(t["sms_informations"], "sms_date", as_of, months).select(
         F.col("sender_id").alias("subscribers_id"), "sms_id", "sms_date", "sms_content", "sms_type_id"
     )
     kinds = lookup(t["sms_types"].select("sms_type_id", F.col("name").alias("sms_type")))

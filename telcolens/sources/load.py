@@ -4,8 +4,8 @@
   ``sysdate`` columns, ``'ACTIVE'`` / ``'UNSOLVED'`` for status columns); a column **present** with a
   null value stays null. Defaults are never applied with ``coalesce``.
 * Present columns are cast to the declared types; comments are attached as column metadata.
-* Fact tables are appended partitioned by the month of their event time; readers prune by adding
-  the month predicate (``month_predicate``) next to the timestamp predicate.
+* Fact tables are appended partitioned by the month of their event time; the reports' windows add
+  the month predicate (``timewin.restrict``) next to the timestamp predicate, so they prune.
 """
 
 from __future__ import annotations
@@ -16,11 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telcolens.functions.timewin import AsOf, as_datetime, months_before, ts_lit
+from telcolens.functions.timewin import MONTH_COLUMN, AsOf, month_predicate, ts_lit  # noqa: F401
 from telcolens.operators.lookup import LOOKUP_ID, enrich_receiver_phone
 from telcolens.sources.schemas import SYSDATE, TABLES
 
-MONTH_COLUMN = "event_month"
 # Columns a batch may carry only for load-time work (dropped after it).
 LOAD_ONLY = {LOOKUP_ID: T.LongType()}
 
@@ -115,18 +114,6 @@ def append(df: DataFrame, table: str, path: str) -> None:
     writer.parquet(path)
 
 
-def month_predicate(as_of: AsOf, months: int | None) -> Column:
-    """Partition filter matching ``in_last_months``/``up_to`` (a timestamp filter alone does not
-    prune the derived month column)."""
-    hi = as_datetime(as_of).date().replace(day=1)
-    c = F.col(MONTH_COLUMN)
-    pred = c <= F.lit(hi.isoformat()).cast("date")
-    if months is not None:
-        lo = months_before(as_of, months).date().replace(day=1)
-        pred = pred & (c >= F.lit(lo.isoformat()).cast("date"))
-    return pred
-
-
 # The subscriber key of every table that carries one (the bucketing column of the co-located layout).
 SUBSCRIBER_KEY: dict[str, str] = {
     "subscribers": "subscribers_id",

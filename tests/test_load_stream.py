@@ -3,6 +3,8 @@ ingest of landing files."""
 
 from __future__ import annotations
 
+import contextlib
+import io
 import tempfile
 from datetime import datetime
 from decimal import Decimal
@@ -78,3 +80,24 @@ def test_csv_dates_and_catalog_ddl(spark):
     assert desc["amount"] == "Amount"
     assert spark.table("payments").count() == 1
     spark.sql("DROP TABLE payments")
+
+
+def test_windowed_reports_prune_month_partitions(spark, fx):
+    from conftest import load_fixture
+    from telcolens.plans import questions as Q
+    from tools.compare_oracle import canon
+
+    old = [[1000 + m, 1 + m % 20, Decimal("7.00"), 1, datetime(2023, 1 + m, 15)] for m in range(12)]
+    t = load_fixture(spark, {"payments": (PAY_COLS, old)})
+    base = scratch()
+    parted = dict(t)
+    for name in ("payments", "calls", "sms_informations"):
+        append(t[name], name, f"{base}/{name}")
+        parted[name] = spark.read.parquet(f"{base}/{name}")
+    q = Q.t08_payments_services_6m(parted, AS_OF)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    assert "PartitionFilters: [isnotnull(event_month" in buf.getvalue()
+    ref = Q.t08_payments_services_6m(t, AS_OF)
+    assert canon(q.columns, [tuple(r) for r in q.collect()]) == canon(ref.columns, [tuple(r) for r in ref.collect()])
