@@ -140,6 +140,13 @@ FROM services v LEFT JOIN per_service ps ON ps.service_id = v.service_id
 WHERE v.deactivation_date IS NULL OR v.deactivation_date > {A}
 """
 
+SQL["t03_active_service_totals_active_tariff"] = _with(_usage(A, None), SERVICE_AMOUNT) + f"""
+SELECT v.service_id, v.service_name, {_z('ps.subscribers', 'subscribers')}, {_z('ps.amount', 'amount', M)}
+FROM services v LEFT JOIN per_service ps ON ps.service_id = v.service_id
+WHERE (v.deactivation_date IS NULL OR v.deactivation_date > {A})
+  AND v.tariff_id IN (SELECT tariff_id FROM tariff_informations WHERE status = 'ACTIVE')
+"""
+
 SQL["t04_calls_by_direction"] = _with(
     """agg AS (
   SELECT caller_id AS subscribers_id, call_type AS direction, COUNT(*) AS calls,

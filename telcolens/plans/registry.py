@@ -47,6 +47,11 @@ def _tables_query(fn) -> Query:
     return run
 
 
+def _t03_active_tariff(t, as_of):
+    """T3 with its option: services of a non-active tariff are dropped too."""
+    return QUESTIONS["t03_active_service_totals"](t, as_of, require_active_tariff=True)
+
+
 def _usage_union(t):
     return usage_union(t["calls"], t["sms_informations"], AS_OF)
 
@@ -79,6 +84,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name, fn in QUESTIONS.items():
         out[name] = _report(fn, _AS_OF_FOR.get(name, AS_OF))
+    out["t03_active_service_totals_active_tariff"] = _report(_t03_active_tariff, AS_OF)
     out["s01_subscriber_profile"] = _report(PROFILES["s01_subscriber_profile"], AS_OF)
     out["s02_service_performance"] = _report(PROFILES["s02_service_performance"], AS_OF)
     out["s03_call_enrichment"] = _tables_query(_s03)
