@@ -324,8 +324,8 @@ def sql() -> str:
     return """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
 t AS (SELECT hex, max(page_id) AS top FROM p GROUP BY hex),
-d AS (SELECT hex, array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    1 + (list_sum(list_transform(range(5), j -> (instr('0123456789abcdef', substr(hex, (i // 4 * 5 + j + 1)::INT, 1)) - 1)
+d AS (SELECT hex, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (list_sum(list_transform(range(5), lambda j: (instr('0123456789abcdef', substr(hex, (i // 4 * 5 + j + 1)::INT, 1)) - 1)
       * (1 << (4 * (4 - j))))) // (1 << (5 * (3 - i % 4))) % 32)::INT, 1)), '') AS digest FROM t)
 SELECT page_id, strlen(html)::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
