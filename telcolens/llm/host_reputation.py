@@ -19,7 +19,7 @@ pages give a row each and count each time. Only ``page_id``, ``url`` and the out
 columns may have any name.
 
 Scale: one shuffle joins labels to (page_id, url); counts per host are aggregated before they move, and
-all levels above hosts are computed from that aggregate. The join back to pages is on the host, pages
+all levels above hosts are computed from that aggregate, which is written once. The join back to pages is on the host, pages
 on the streamed side, so a host with a third of all pages is split by AQE. Nothing is broadcast by hint.
 """
 
@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telcolens.llm.common import ascii_lower, table
+from telcolens.llm.common import ascii_lower, table, written
 
 # (host and path, verdict). Fixed values of the contract.
 RULES = (
@@ -107,12 +107,13 @@ def with_posterior(children: DataFrame, parents: DataFrame, key: str, level: str
 
 def host_reputation(pages: DataFrame) -> DataFrame:
     """(host, n, k, mean, weight, lower) from rows (host, bad): bad 1 or 0, null if unlabelled."""
-    hosts = (
+    hosts = written(
         pages.groupBy("host")
         .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
         .withColumn("domain", registered_domain(F.col("host")))
         .withColumn("suffix", suffix(F.col("domain")))
-        .withColumn("top", F.lit(""))
+        .withColumn("top", F.lit("")),
+        "hosts",
     )
     totals = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     domains = hosts.groupBy("domain", "suffix", "top").agg(*totals)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from telcolens.llm import bitplanes, host_reputation, pivotal_mix, warc_index
+from telcolens.llm import bitplanes, host_reputation, pivotal_mix, signature_tree, warc_index
 
 QUERIES = {
+    "op4_signature_tree": signature_tree.query,
     "op5_warc_index": warc_index.query,
     "op8_host_reputation": host_reputation.query,
     "op9_pivotal_mix": pivotal_mix.query,

@@ -19,8 +19,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-# Bytes hashed at once: bounds the memory of a step at about 40 times this.
-STEP_BYTES = 4 << 20
+# Bytes hashed at once (but whole texts): what a step touches stays in a core's cache.
+STEP_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,11 +32,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, np.uint64(base), np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """``base`` to the powers 0 .. n - 1 modulo 2**64; a worker keeps those of the longest step so far."""
+    kept = _POWERS.get(base)
+    if kept is None or len(kept) < n:
+        kept = np.full(max(n, 2 * STEP_BYTES), np.uint64(base), np.uint64)
+        kept[0] = 1
+        kept = _POWERS[base] = np.cumprod(kept, dtype=np.uint64)
+    return kept[:n]
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
