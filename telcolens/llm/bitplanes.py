@@ -53,8 +53,8 @@ END_ID = 2
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters on whose classes all Unicode versions agree.
 RARE = re.compile("[^\t\n\r -~¡-ӿ]")
-# Units remembered by a worker, at most.
-MEMO = 400_000
+# Text units and, for the slower step below, pieces that a worker remembers, at most (about 200 bytes each).
+UNITS, WORDS = 300_000, 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -97,7 +97,7 @@ class Encoder:
         if got is None:
             spelled = piece.encode().decode("latin-1").translate(self.byte_names)
             ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-            if len(self.words) >= MEMO:
+            if len(self.words) >= WORDS:
                 self.words.clear()
             got = self.words[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return got
@@ -105,7 +105,7 @@ class Encoder:
     def unit(self, unit: str) -> bytes:
         got = self.units.get(unit)
         if got is None:
-            if len(self.units) >= MEMO:
+            if len(self.units) >= UNITS:
                 self.units.clear()
             got = self.units[unit] = b"".join([self.word(p) for p in self.pieces.findall(unit)])
         return got

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from telcolens.llm import bitplanes, host_reputation, pivotal_mix, signature_tree, warc_index
+from telcolens.llm import bitplanes, host_reputation, pivotal_mix, signature_tree, spaced_seeds, warc_index
 
 QUERIES = {
+    "op2_spaced_seeds": spaced_seeds.query,
     "op4_signature_tree": signature_tree.query,
     "op5_warc_index": warc_index.query,
     "op8_host_reputation": host_reputation.query,
@@ -18,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_index": warc_index.sql(), "op8_host_reputation": host_reputation.sql()}
+    return {"op2_spaced_seeds": spaced_seeds.sql(), "op5_warc_index": warc_index.sql(), "op8_host_reputation": host_reputation.sql()}
