@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from telcolens.llm import bitplanes, host_reputation, pivotal_mix, signature_tree, spaced_seeds, warc_index
+from telcolens.llm import bitplanes, host_reputation, mil_toxicity, pivotal_mix, prefix_forest, signature_tree, spaced_seeds, warc_index
 
 QUERIES = {
+    "op3_prefix_forest": prefix_forest.query,
+    "op6_mil_toxicity": mil_toxicity.query,
     "op2_spaced_seeds": spaced_seeds.query,
     "op4_signature_tree": signature_tree.query,
     "op5_warc_index": warc_index.query,
