@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from telcolens.llm import bitplanes, host_reputation, mil_toxicity, pivotal_mix, prefix_forest, signature_tree, spaced_seeds, warc_index
+import corpus_pipeline
+from telcolens.llm import bitplanes, cotraining, host_reputation, mil_toxicity, pivotal_mix, prefix_forest, signature_tree, spaced_seeds, warc_index
 
 QUERIES = {
+    "op7_cotraining": cotraining.query,
     "op3_prefix_forest": prefix_forest.query,
     "op6_mil_toxicity": mil_toxicity.query,
     "op2_spaced_seeds": spaced_seeds.query,
@@ -17,7 +19,7 @@ QUERIES = {
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
