@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from telcolens.llm import bitplanes, cotraining, host_reputation, mil_toxicity, pivotal_mix, prefix_forest, signature_tree, spaced_seeds, warc_index
+from telcolens.llm import bitplanes, cotraining, host_reputation, mil_toxicity, pivotal_mix, prefix_forest, signature_tree, spaced_seeds, suffix_tree_lm, warc_index
 
 QUERIES = {
-    "op7_cotraining": cotraining.query,
-    "op3_prefix_forest": prefix_forest.query,
-    "op6_mil_toxicity": mil_toxicity.query,
+    "op1_suffix_tree_lm": suffix_tree_lm.query,
     "op2_spaced_seeds": spaced_seeds.query,
+    "op3_prefix_forest": prefix_forest.query,
     "op4_signature_tree": signature_tree.query,
     "op5_warc_index": warc_index.query,
+    "op6_mil_toxicity": mil_toxicity.query,
+    "op7_cotraining": cotraining.query,
     "op8_host_reputation": host_reputation.query,
     "op9_pivotal_mix": pivotal_mix.query,
     "op10_bitplanes": bitplanes.query,
