@@ -125,7 +125,7 @@ class Block:
         doc = np.repeat(np.arange(n), self.lengths)
         self.place = np.arange(len(doc)) - (np.cumsum(self.lengths) - self.lengths)[doc]  # 0: the begin
         self.learn = trains[doc]
-        words, at = unpack_sorted(row["words"]), unpack(row["at"]).astype(np.int64)
+        words, at = unpack_sorted(row["words"]), unpack(row["at"]).astype(np.int32)
         self.token = words[at]
         # Of n-grams that end at each token, by number of words less one: key position, own count, total count.
         own = np.bincount(at, self.learn, minlength=len(words)).astype(np.int64)
@@ -142,13 +142,20 @@ class Block:
         c, o = self.count[k - 1], self.own[k - 1]
         frequent = use & (c[before] >= self.known["least"])
         gram = mix(np.concatenate([np.zeros(1, np.uint64), self.gram[k - 1][:-1]]) + mix(self.token + np.uint64(k)))
-        keys, first, at = np.unique(gram[frequent], return_index=True, return_inverse=True)
+        looked = np.flatnonzero(frequent)
+        order = np.argsort(gram[looked])
+        ranked = gram[looked][order]
+        begins = np.ones(len(ranked), bool)
+        begins[1:] = ranked[1:] != ranked[:-1]
+        keys = ranked[begins]
+        at = np.empty(len(looked), np.int32)
+        at[order] = np.cumsum(begins, dtype=np.int32) - 1
         self.gram.append(gram)
-        full = np.full(len(gram), -1)
-        full[frequent] = at
-        own = np.bincount(at, self.learn[frequent], minlength=len(keys)).astype(np.int64)
+        full = np.full(len(gram), -1, np.int32)
+        full[looked] = at
+        own = np.bincount(at, self.learn[looked], minlength=len(keys)).astype(np.int64)
         # A context or a suffix that is in this block's training only: its n-grams are, too.
-        where = np.flatnonzero(frequent)[first]
+        where = looked[order[begins]]
         suffix = self.at[k - 1][where]
         elsewhere = (c[before[where]] > o[before[where]]) & np.where(suffix >= 0, c[suffix] > o[suffix], True)
         self.keys.append(keys)
@@ -186,9 +193,15 @@ class Block:
             now = np.where(self.learn[at], (self.count[j][self.at[j][at]] - 1.0 + m * before[at]) / (of + m), 1.0)
             part = np.where(self.learn[at], np.log(now / before[at]), 0.0)
             before[at] = now
-        self.tested, inverse = np.unique(context, return_inverse=True)
-        keys = self.keys[k - 1][self.tested]
-        return keys, np.bincount(inverse, part, minlength=len(keys))
+        sums = np.bincount(context, part, minlength=len(self.keys[k - 1]))
+        tested = self.positions(k, context)
+        return self.keys[k - 1][tested], sums[tested]
+
+    def positions(self, k: int, context: np.ndarray) -> np.ndarray:
+        """Positions among keys k - 1 that are candidate contexts here, in order."""
+        seen = np.zeros(len(self.keys[k - 1]), bool)
+        seen[context] = True
+        return np.flatnonzero(seen)
 
     def root(self) -> np.ndarray:
         return (self.count[0][self.at[0]] + 0.5) / (self.known["n"] + 0.5 * (self.known["v"] + 1))
@@ -199,10 +212,9 @@ class Block:
         p = root.copy()
         for k in range(1, depth + 1):
             at, context = self.contexts(k)
-            self.tested = np.unique(context)
             retained = np.zeros(len(self.count[k - 1]), bool)
             if TESTS + k in self.answers:
-                retained[self.tested] = np.frombuffer(self.answers[TESTS + k], "u1").astype(bool)
+                retained[self.positions(k, context)] = np.frombuffer(self.answers[TESTS + k], "u1").astype(bool)
             on = retained[context]
             at, context = at[on], context[on]
             of = self.count[k - 1][context]
