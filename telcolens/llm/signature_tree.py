@@ -15,9 +15,12 @@ into pairs, and no link between two components is missed.
 3. Signature trees: in each group documents are ordered by size and lowest hashes; leaves hold 16, inner nodes 8
    children. A node has the OR of its documents' token bitmaps, the range of their sizes and their least bitmap
    weight. A dual traversal prunes node pairs whose largest possible overlap is too small, or that are one
-   component already; documents of surviving leaf pairs are filtered by their own bitmaps and then compared exactly.
-4. Groups of more than ``BLOCK`` shingles are cut: all are compared with the group's centre first, which joins most
-   near copies; the rest are compared in blocks, rest block by block of all, each pair of blocks a task of its own.
+   component already; documents of surviving leaf pairs are filtered by their own bitmaps. First this is done on
+   bitmaps and sizes alone, which are small: it splits the groups into those whose documents could link. (A group
+   of more than ``NODES`` documents is cut into blocks, each pair of blocks a task of its own.) In the groups
+   that are left, whose shingles are fetched, documents that pass are compared exactly.
+4. Of these, groups of more than ``BLOCK`` shingles are cut: all are compared with the group's centre first, which
+   joins most near copies; the rest are compared in blocks, rest block by block of all, each pair a task.
 5. The components of the links found are computed in Spark by alternating large-star and small-star steps.
 
 Nulls: a null or empty text has no shingles, links with nothing and is its own component. A text with fewer words
@@ -41,6 +44,8 @@ from telcolens.llm.tokens import Words, hash_words, mix
 # Shingles of a group (or block) that one task compares.
 BLOCK = 1 << 20
 BITS = 1024
+# Documents of a group that one task compares by bitmaps.
+NODES = 1 << 12
 LEAF, FANOUT = 16, 8
 # Keys that a map task holds before it hands them over.
 HELD = 1 << 21
@@ -270,18 +275,24 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def bitmaps(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Token bitmaps of sets: (sets, BITS / 64)."""
+    out = np.zeros((len(first) - 1, BITS // 64), np.uint64)
+    bit = ((values >> np.uint64(20)) % np.uint64(BITS)).astype(np.int64)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    flat = np.zeros((len(first) - 1) * BITS, bool)
+    flat[owner * BITS + bit] = True
+    if len(flat):
+        out = np.packbits(flat.reshape(-1, BITS), axis=1, bitorder="little").view("<u8")
+    return out
+
+
 class Tree:
-    """A signature tree over documents given by their sorted shingle sets."""
+    """A signature tree over documents: ``size`` of each, ``maps``: token bitmaps, ``low``: lowest hash."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        size = np.array([len(s) for s in sets])
-        low = np.array([s[0] if len(s) else 0 for s in sets], np.uint64)
+    def __init__(self, size: np.ndarray, maps: np.ndarray, low: np.ndarray):
         self.order = np.lexsort((low, size))
-        self.size = size[self.order]
-        self.maps = np.zeros((len(sets), BITS // 64), np.uint64)
-        for i, k in enumerate(self.order):
-            bit = (sets[k] >> np.uint64(20)) % np.uint64(BITS)
-            np.bitwise_or.at(self.maps[i], (bit >> np.uint64(6)).astype(np.intp), np.uint64(1) << (bit & np.uint64(63)))
+        self.size, self.maps = size[self.order], maps[self.order]
         self.weight = np.bitwise_count(self.maps).sum(axis=1).astype(np.int64)
         # Levels from the leaves up: OR of bitmaps, least and most size, least weight; node i covers children i * k ...
         self.levels: list[tuple[np.ndarray, ...]] = []
@@ -313,16 +324,30 @@ def possible(a: tuple, b: tuple, rule: Rule) -> np.ndarray:
     return fits & rule.links(most, a[1] + b[1])
 
 
-def tree_links(sets: list[np.ndarray], mine: list[int], all_: list[int], joined: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
-    """Links, one per joining of two components, between documents ``mine`` and ``all_`` (positions in ``sets``).
+def exact_links(sets: list[np.ndarray], mine: list[int], all_: list[int], joined: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
+    """Links between documents ``mine`` and ``all_`` (positions in ``sets``, their sorted shingles)."""
+    first = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
+    maps = bitmaps(np.concatenate(sets), first)
+    low = np.array([s[0] for s in sets], np.uint64)
+
+    def check(p: int, q: int) -> bool:
+        common = len(np.intersect1d(sets[p], sets[q], assume_unique=True))
+        return bool(rule.links(common, len(sets[p]) + len(sets[q])))
+
+    return tree_links(np.diff(first), maps, low, mine, all_, joined, rule, check)
+
 
-    ``joined``: component numbers known before; changed as links are found."""
+def tree_links(size, maps, low, mine: list[int], all_: list[int], joined: np.ndarray, rule: Rule, check) -> list[tuple[int, int]]:
+    """Links, one per joining of two components, between documents ``mine`` and ``all_`` (positions in ``size``, ...).
+
+    ``joined``: component numbers known before; changed as links are found. ``check``: the last test of a pair that
+    could link by bitmaps and sizes (None: none)."""
     out: list[tuple[int, int]] = []
     if not mine or not all_:
         return out
-    left = Tree([sets[i] for i in mine])
+    left = Tree(size[mine], maps[mine], low[mine])
     same = mine == all_
-    right = left if same else Tree([sets[i] for i in all_])
+    right = left if same else Tree(size[all_], maps[all_], low[all_])
     left_id, right_id = np.array(mine)[left.order], np.array(all_)[right.order]
 
     def span(tree: Tree, ids: np.ndarray, level: int, i: int) -> np.ndarray:
@@ -343,8 +368,7 @@ def tree_links(sets: list[np.ndarray], mine: list[int], all_: list[int], joined:
                 p, q = left_id[rows[i]], right_id[cols[k]]
                 if joined[p] == joined[q]:
                     continue
-                common = len(np.intersect1d(sets[p], sets[q], assume_unique=True))
-                if rule.links(common, len(sets[p]) + len(sets[q])):
+                if check is None or check(p, q):
                     out.append((int(p), int(q)))
                     joined[joined == joined[q]] = joined[p]
             continue
@@ -369,7 +393,7 @@ def whole_groups(rows: DataFrame, rule: Rule) -> DataFrame:
         node = np.array([d["node"] for d in docs])
         sets = [np.frombuffer(d["shingles"], np.uint64) for d in docs]
         every = list(range(len(docs)))
-        found = tree_links(sets, every, every, np.arange(len(docs)), rule)
+        found = exact_links(sets, every, every, np.arange(len(docs)), rule)
         yield from edge_batches(np.array([(node[a], node[b]) for a, b in found], np.int64).reshape(-1, 2))
 
     by_group = rows.select("root", "node", "shingles").repartition("root").sortWithinPartitions("root")
@@ -421,7 +445,7 @@ def large_groups(rows: DataFrame, rule: Rule) -> DataFrame:
         # Linked to the centre: one component. A node that is here twice is one, too.
         joined = np.unique(np.where([d["linked"] for d in docs], np.int64(0), name), return_inverse=True)[1]
         rest = [i for i, d in enumerate(docs) if d["rest"]]
-        found = tree_links(sets, rest, [i for i, d in enumerate(docs) if not d["rest"]], joined, rule)
+        found = exact_links(sets, rest, [i for i, d in enumerate(docs) if not d["rest"]], joined, rule)
         yield from edge_batches(np.array([(name[a], name[b]) for a, b in found], np.int64).reshape(-1, 2))
 
     by_task = tasks.repartition("root", "a", "b").sortWithinPartitions("root", "a", "b")
@@ -429,18 +453,44 @@ def large_groups(rows: DataFrame, rule: Rule) -> DataFrame:
     return found.unionByName(star.where("linked and node <> root").select(F.col("root").alias("u"), F.col("node").alias("v")))
 
 
+def possible_links(members: DataFrame, rule: Rule) -> DataFrame:
+    """Edges that keep together the documents of each group (root) that could link by bitmaps and sizes."""
+    blocks = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / NODES).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = members.join(blocks, "root").withColumn("own", own)
+    # Each block meets every other once, and itself: tasks (a, b) with a <= b.
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = dealt.select("root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "size", "low", "bitmap")
+
+    def compare(key: tuple, docs: list[dict]) -> Iterator[pa.RecordBatch]:
+        node, size = np.array([d["node"] for d in docs]), np.array([d["size"] for d in docs])
+        low = np.array([d["low"] for d in docs])
+        maps = np.frombuffer(b"".join([d["bitmap"] for d in docs]), "<u8").reshape(len(docs), -1)
+        mine = [i for i, d in enumerate(docs) if d["own"] == key[1]]
+        theirs = mine if key[1] == key[2] else [i for i, d in enumerate(docs) if d["own"] == key[2]]
+        found = tree_links(size, maps, low, mine, theirs, np.arange(len(docs)), rule, None)
+        yield from edge_batches(np.array([(node[a], node[b]) for a, b in found], np.int64).reshape(-1, 2))
+
+    by_task = tasks.repartition("root", "a", "b").sortWithinPartitions("root", "a", "b")
+    return by_task.mapInArrow(lambda parts: grouped(parts, ["root", "a", "b"], compare), EDGES)
+
+
 def shingled(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, node (null: no shingles) of each document, written."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
+    """doc_id, n_shingles, node (null: no shingles), low (lowest hash), bitmap of each document, written."""
+    ddl = "doc_id long, n_shingles long, node long, low long, bitmap binary"
+    names = [x.split()[0] for x in ddl.split(", ")]
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             values, first = shingle_sets(hash_words(part.column("text")), rule.n)
             node = nodes_of(values, first)
-            columns = [part.column("doc_id").cast(pa.int64()), pa.array(np.diff(first)), pa.array(node, mask=node == 0)]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            low = np.zeros(len(node), np.int64)
+            low[node != 0] = (values[first[:-1][node != 0]] >> np.uint64(1)).astype(np.int64)
+            maps = pa.array([m.tobytes() for m in bitmaps(values, first)], pa.binary())
+            columns = [part.column("doc_id").cast(pa.int64()), pa.array(np.diff(first)), pa.array(node, mask=node == 0), pa.array(low), maps]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return written(docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n_shingles long, node long"), "shingled")
+    return written(docs.select("doc_id", "text").mapInArrow(count, ddl), "shingled")
 
 
 def with_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
@@ -469,11 +519,16 @@ def with_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
 def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """One row per document: doc_id, n_shingles, node, component_id."""
     spark = docs.sparkSession
-    rows = shingled(docs, rule)
+    shingles = shingled(docs, rule)
+    rows = shingles.select("doc_id", "n_shingles", "node")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    near = written(components(star_edges(in_buckets(docs, rule, buckets))), "groups")
-    first = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"))
-    members = near.join(first, "node")
+    near = written(components(star_edges(in_buckets(docs, rule, buckets))), "routed")
+    # One row per node: of its documents all but the ids are equal.
+    same = [F.max(c).alias(n) for c, n in (("n_shingles", "size"), ("low", "low"), ("bitmap", "bitmap"))]
+    first = shingles.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), *same)
+    first = written(first.join(near, "node"), "nodes")
+    near = written(components(possible_links(first, rule)), "groups")
+    members = first.select("node", "doc_id", "size").join(near, "node")
     sizes = members.groupBy("root").agg(F.sum("size").alias("total"))
     sets = with_sets(docs, members.join(sizes, "root"), rule)
     # Groups that fit a task and those that don't, apart.
