@@ -73,7 +73,7 @@ def suffix(domain: Column) -> Column:
     return F.regexp_extract(domain, r"([^.]*)$", 1)
 
 
-def with_posterior(children: DataFrame, parents: DataFrame, key: str, level: str) -> DataFrame:
+def with_posterior(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Adds ``mean`` and ``weight`` (labelled pages plus prior strength) to (key, n, k, ...) rows.
 
     ``parents``: (``key``, parent_n, parent_k, parent_mean). The strength is by moments over all children of the level:
@@ -94,14 +94,11 @@ def with_posterior(children: DataFrame, parents: DataFrame, key: str, level: str
         .when(r >= 1, LEAST_STRENGTH)
         .otherwise(F.greatest(F.lit(LEAST_STRENGTH), F.least(F.lit(MOST_STRENGTH), 1 / r - 1)))
     )
-    # One row: joined by a constant key, so it stays an equi-join.
-    one = moments.select(F.lit(level).alias("level"), strength.alias("strength"))
+    prior = moments.select(strength).head()[0]  # one row
     return (
-        c.withColumn("level", F.lit(level))
-        .join(F.broadcast(one), "level")
-        .withColumn("weight", F.col("n") + F.col("strength"))
-        .withColumn("mean", (F.col("k") + F.col("strength") * F.col("parent_mean")) / F.col("weight"))
-        .drop("level", "strength", "parent_n", "parent_k", "parent_mean")
+        c.withColumn("weight", F.col("n") + F.lit(prior))
+        .withColumn("mean", (F.col("k") + F.lit(prior) * F.col("parent_mean")) / F.col("weight"))
+        .drop("parent_n", "parent_k", "parent_mean")
     )
 
 
@@ -125,9 +122,9 @@ def host_reputation(pages: DataFrame) -> DataFrame:
 
     # Without any labelled page the mean is that of one bad and one good page.
     top = parent(everything, "top", (F.col("k") + 1) / (F.col("n") + 2))
-    s = with_posterior(suffixes, top, "top", "suffix")
-    d = with_posterior(domains.drop("top"), parent(s, "suffix", F.col("mean")), "suffix", "domain")
-    h = with_posterior(hosts.drop("top", "suffix"), parent(d, "domain", F.col("mean")), "domain", "host")
+    s = with_posterior(suffixes, top, "top")
+    d = with_posterior(domains.drop("top"), parent(s, "suffix", F.col("mean")), "suffix")
+    h = with_posterior(hosts.drop("top", "suffix"), parent(d, "domain", F.col("mean")), "domain")
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return h.select("host", "n", "k", "mean", "weight", (F.col("mean") - BOUND_Z * sd).alias("lower"))
 
