@@ -2,10 +2,9 @@
 
 Rules the reports follow:
   * facts are aggregated to the join key before any join (no fan-out, map-side partial aggregation);
-  * a lookup dimension with few key values is broadcast only after its row count is checked
-    (``lookup``); other joins are sized by Spark (the static threshold on file statistics, then AQE
-    on actual shuffle sizes); beyond the bounds the join stays a shuffle join and AQE splits skewed
-    partitions. Unchecked hints appear only where the row count is bounded by construction (a
+  * joins are sized by Spark (the static threshold on file statistics, then AQE on actual shuffle
+    sizes); beyond the bounds the join stays a shuffle join and AQE splits skewed partitions.
+    Building a query runs no job. Hints appear only where the row count is bounded by construction (a
     top-k key list, the five age-band means);
   * the many-rows side of a join is the left (streamed) side, so a hot key is never buffered and
     AQE skew-join can split it.
@@ -16,25 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows for a broadcast lookup dimension.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; ``limit(max_rows + 1).count()`` stops early
-    on a large input, so the check stays cheap when it fails."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """A lookup dimension with few key values (tariff, call kind, SMS kind, payment method).
-
-    Joined onto a large result, such a key would put every row of a value into one shuffle
-    partition, so the dimension is broadcast -- but only after its row count is checked. Above the
-    bound it is returned as is and the join stays a shuffle join (AQE splits skewed partitions)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 NAME_COLUMNS = ("name", "surname")
 
 

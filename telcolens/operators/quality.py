@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telcolens.sources.schemas import TABLES
 
@@ -45,40 +46,55 @@ def fk_orphans(child: DataFrame, column: str, parent: DataFrame, parent_column:
     return keys.join(parent_keys, column, "left_anti")
 
 
+def as_parent_key(column: str, child: T.DataType, parent: T.DataType) -> str:
+    """SQL for a child key in the parent's text form. A value that the parent's type can't hold gets a
+    form that no parent key has."""
+    text = f"CAST(`{column}` AS STRING)"
+    if child == parent:
+        return text
+    cast = f"try_cast(`{column}` AS {parent.simpleString()})"
+    same = f"{cast} IS NOT NULL"
+    if isinstance(child, T.NumericType) and isinstance(parent, T.NumericType):
+        same = f"{cast} = `{column}`"
+    return f"CASE WHEN `{column}` IS NULL THEN NULL WHEN {same} THEN CAST({cast} AS STRING) ELSE concat('not a key: ', {text}) END"
+
+
 def fk_summary(
     tables: Mapping[str, DataFrame], fks: Iterable[tuple[str, str, str, str]]
 ) -> DataFrame:
     """A5: one row per foreign key: (table_name, column_name, parent_table, orphan_rows, orphan_keys).
 
-    One pass per child table: all of its key columns are unpivoted into (fk, key) rows in a single
-    scan, so a child with three foreign keys (calls) is read -- and, if it is derived, computed --
-    once. Keys are compared as text (each key column keeps its own values). The (fk, key) counts are
-    aggregated map-side, then matched once against the union of all parent keys."""
+    One pass per table: all key columns of a child are unpivoted into (fk, parent, key) rows in a single
+    scan, aggregated map-side, and matched once against the distinct keys of all parents, of which each
+    is read once whatever the number of its children. Keys are compared as the parent's type: a child
+    value is cast to it and, where that changes the value, is an orphan."""
     fks = list(fks)
     spark = next(iter(tables.values())).sparkSession
-    by_child: dict[str, list[tuple[int, str]]] = {}
-    for i, (child, column, _, _) in enumerate(fks):
-        by_child.setdefault(child, []).append((i, column))
+    parents = {p: i for i, p in enumerate(dict.fromkeys((f[2], f[3]) for f in fks))}
+    by_child: dict[str, list[tuple[int, int, str]]] = {}
+    for i, (child, column, parent, pcol) in enumerate(fks):
+        key = as_parent_key(column, tables[child].schema[column].dataType, tables[parent].schema[pcol].dataType)
+        by_child.setdefault(child, []).append((i, parents[parent, pcol], key))
 
-    def tagged(df: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
-        cells = ", ".join(f"{i}, CAST(`{c}` AS STRING)" for i, c in items)
-        return df.selectExpr(f"stack({len(items)}, {cells}) AS (fk, key)")
+    def tagged(df: DataFrame, items: list[tuple[int, int, str]]) -> DataFrame:
+        cells = ", ".join(f"{i}, {p}, {key}" for i, p, key in items)
+        return df.selectExpr(f"stack({len(items)}, {cells}) AS (fk, parent, key)")
 
     child_keys = reduce(
         DataFrame.unionByName, [tagged(tables[child], items) for child, items in by_child.items()]
     )
-    counts = child_keys.where("key IS NOT NULL").groupBy("fk", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = child_keys.where("key IS NOT NULL").groupBy("fk", "parent", "key").agg(F.count(F.lit(1)).alias("n_rows"))
     parent_keys = reduce(
         DataFrame.unionByName,
         [
-            tables[parent].selectExpr(f"{i} AS fk", f"CAST(`{pcol}` AS STRING) AS key", "true AS _parent")
-            for i, (_, _, parent, pcol) in enumerate(fks)
+            tables[parent].selectExpr(f"{i} AS parent", f"CAST(`{pcol}` AS STRING) AS key")
+            for (parent, pcol), i in parents.items()
         ],
-    )
+    ).distinct().withColumn("_parent", F.lit(True))
     # A left join + "no parent" filter rather than an anti join: Spark would push an anti join below
     # the aggregate and the union (onto raw child rows, with the parent keys copied per child).
     orphans = (
-        counts.join(parent_keys, ["fk", "key"], "left")
+        counts.join(parent_keys, ["parent", "key"], "left")
         .where("_parent IS NULL")
         .groupBy("fk")
         .agg(F.sum("n_rows").cast("bigint").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))
@@ -86,7 +102,7 @@ def fk_summary(
     # One metadata row per foreign key (bounded by the list of keys), so clean keys report zeros.
     values = ", ".join(f"({i}, '{c}', '{col}', '{p}')" for i, (c, col, p, _) in enumerate(fks))
     meta = spark.sql(f"SELECT * FROM VALUES {values} AS m(fk, table_name, column_name, parent_table)")
-    return F.broadcast(meta).join(orphans, "fk", "left").selectExpr(
+    return meta.join(orphans, "fk", "left").selectExpr(
         "table_name",
         "column_name",
         "parent_table",

@@ -31,26 +31,24 @@ def compare_to_group_mean(
     mean_name: str,
     flag_name: str,
     fixed_groups: bool = False,
-    bounded_by: DataFrame | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the mean of ``value`` over each ``group`` and flag rows strictly above it.
 
     The mean is a ``groupBy`` with partial aggregation, not a Window: a Window over few groups would
-    send every row of a group to one task. The means are broadcast back only with a proven bound:
-    ``fixed_groups`` (a fixed label set), or ``bounded_by``, a dimension whose row count the caller
-    checked -- the means are then restricted to its keys, so they cannot outgrow it. Otherwise the
-    join is left to Spark's size checks; ``df`` stays on the left, where AQE skew-join can split a
-    hot group. Rows whose group is null or outside the dimension get a null mean and flag. The
-    mean is exact: the sum in decimal/bigint, divided as double.
+    send every row of a group to one task. ``known`` restricts the means to the group keys of a
+    dimension; rows whose group is null or outside it get a null mean and flag. The means are broadcast
+    by hint only for ``fixed_groups`` (a fixed label set); else Spark sizes the join, and ``df`` stays
+    on the left, where AQE skew-join can split a hot group.
+
+    The flag compares exactly, ``value * n > sum`` in decimals; the mean shown is that sum divided as double.
     """
-    # ``df`` feeds both this branch and the join below; Spark reuses its shuffles for both (seen as
-    # ReusedExchange in the final plan). A null group's mean never matches in the join.
-    means = df.groupBy(group).agg(
-        (F.sum(value).cast("double") / F.count(F.lit(1)).cast("double")).alias(mean_name)
-    )
-    bounded = fixed_groups
-    if bounded_by is not None:
-        means = means.join(F.broadcast(bounded_by.select(group)), group, "left_semi")
-        bounded = True
-    out = df.join(F.broadcast(means) if bounded else means, group, "left")
-    return out.withColumn(flag_name, F.col(value).cast("double") > F.col(mean_name))
+    # ``df`` feeds both this branch and the join below; Spark reuses its shuffles where the plans agree.
+    # A null group's mean never matches in the join.
+    means = df.groupBy(group).agg(F.sum(value).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    if known is not None:
+        means = means.join(known.select(group), group, "left_semi")
+    out = df.join(F.broadcast(means) if fixed_groups else means, group, "left")
+    mean = F.col("_sum").cast("double") / F.col("_n").cast("double")
+    above = F.col(value).cast("decimal(24,2)") * F.col("_n").cast("decimal(14,0)") > F.col("_sum").cast("decimal(38,2)")
+    return out.withColumn(mean_name, mean).withColumn(flag_name, above).drop("_sum", "_n")

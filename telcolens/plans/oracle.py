@@ -292,11 +292,12 @@ per AS (
   LEFT JOIN pairs p ON p.subscribers_id = s.subscribers_id
   LEFT JOIN tot t ON t.subscribers_id = s.subscribers_id),
 means AS (
-  SELECT tariff_id, CAST(SUM(total_paid) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS tariff_avg_paid
+  SELECT tariff_id, CAST(SUM(total_paid) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS tariff_avg_paid,
+         CAST(SUM(total_paid) AS DECIMAL(38,2)) AS total, CAST(COUNT(*) AS DECIMAL(14,0)) AS n
   FROM per WHERE tariff_id IN (SELECT tariff_id FROM tariff_informations) GROUP BY tariff_id)""",
 ) + """
 SELECT per.subscribers_id, per.name, per.surname, per.tariff_id, per.total_paid, m.tariff_avg_paid,
-       CAST(per.total_paid AS DOUBLE) > m.tariff_avg_paid AS above_tariff_avg
+       CAST(per.total_paid AS DECIMAL(24,2)) * m.n > m.total AS above_tariff_avg
 FROM per LEFT JOIN means m ON m.tariff_id = per.tariff_id
 """
 
@@ -324,7 +325,7 @@ SQL["s01_subscriber_profile"] = _with(
          CAST(SUM(sms) AS BIGINT) AS sms, COUNT(service_id) AS services
   FROM usage_agg GROUP BY subscribers_id)""",
 ) + f"""
-SELECT s.subscribers_id, s.name, s.surname, {_band('s.birth_date', A)} AS age_band,
+SELECT s.subscribers_id, s.name, s.surname, s.gender, {_band('s.birth_date', A)} AS age_band,
        {_z('u.calls', 'calls')}, {_z('u.seconds', 'seconds')}, {_z('u.sms', 'sms')},
        {_z('u.services', 'services')}, {_z('p.payments', 'payments')}, {_z('p.amount', 'amount', M)},
        p.last_payment_date, {_z('c.complaints', 'complaints')}
@@ -334,6 +335,13 @@ LEFT JOIN pay p ON p.subscribers_id = s.subscribers_id
 LEFT JOIN cc c ON c.subscribers_id = s.subscribers_id
 """
 
+SQL["s01_subscriber_segments"] = f"""
+SELECT s.*, b.above_band_avg, f.above_tariff_avg FROM ({SQL['s01_subscriber_profile']}) s
+LEFT JOIN ({SQL['t18_above_age_average']}) b ON b.subscribers_id = s.subscribers_id
+LEFT JOIN (SELECT subscribers_id, bool_or(above_tariff_avg) AS above_tariff_avg
+           FROM ({SQL['t17_above_tariff_average']}) GROUP BY subscribers_id) f ON f.subscribers_id = s.subscribers_id
+"""
+
 SQL["s02_service_performance"] = _with(
     _usage(A, None),
     SERVICE_AMOUNT,
@@ -366,6 +374,24 @@ LEFT JOIN tariff_informations t ON t.tariff_id = v.tariff_id
 LEFT JOIN call_type k ON k.call_type_id = c.call_type_id
 """
 
+SQL["s03_sms_enrichment"] = _with() + """
+SELECT m.sms_id, m.sender_id, m.sms_date, m.sms_content, m.sms_type_id, m.service_id, s.name, s.surname,
+       k.name AS sms_type, v.service_name, v.tariff_id, t.tariff_name
+FROM sms_informations m
+LEFT JOIN subscribers s ON s.subscribers_id = m.sender_id
+LEFT JOIN sms_types k ON k.sms_type_id = m.sms_type_id
+LEFT JOIN services v ON v.service_id = m.service_id
+LEFT JOIN tariff_informations t ON t.tariff_id = v.tariff_id
+"""
+
+SQL["s03_payment_enrichment"] = _with() + """
+SELECT p.payment_id, p.subscribers_id, p.amount, p.payment_type_id, p.payment_date, s.name, s.surname,
+       k.name AS payment_method
+FROM payments p
+LEFT JOIN subscribers s ON s.subscribers_id = p.subscribers_id
+LEFT JOIN payment_method_type k ON k.payment_type_id = p.payment_type_id
+"""
+
 SQL["enrich_receiver_phone"] = _with() + f"""
 SELECT {_CALL_COLS}
 FROM calls c LEFT JOIN subscribers r ON r.subscribers_id = c.receiver_subscriber_id

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from telcolens.functions.people import age_band, age_years, money_total, zero
 from telcolens.functions.timewin import AsOf, up_to
-from telcolens.operators.joins import for_each_subscriber, lookup
+from telcolens.operators.joins import attach_names, for_each_subscriber
 from telcolens.operators.lookup import enrich_receiver_phone
 from telcolens.plans.questions import (
     NAMES,
@@ -16,12 +16,14 @@ from telcolens.plans.questions import (
     _complaint_counts,
     _payment_totals,
     _usage_agg,
+    t17_above_tariff_average,
+    t18_above_age_average,
 )
 
 
 def s01_subscriber_profile(t: Tables, as_of: AsOf) -> DataFrame:
-    """One row per subscriber with call, SMS, service-use, payment and complaint behaviour and
-    the age band (the segment used by T16 / T18)."""
+    """One row per subscriber with call, SMS, service-use, payment and complaint behaviour, age
+    band and gender (the segments of T16)."""
     usage = (
         _usage_agg(t, as_of)
         .groupBy("subscribers_id")
@@ -32,12 +34,13 @@ def s01_subscriber_profile(t: Tables, as_of: AsOf) -> DataFrame:
             F.count("service_id").alias("services"),
         )
     )
-    subs = t["subscribers"].select(*NAMES, age_band(age_years("birth_date", as_of)).alias("age_band"))
+    subs = t["subscribers"].select(*NAMES, "gender", age_band(age_years("birth_date", as_of)).alias("age_band"))
     out = for_each_subscriber(
-        subs, usage, _payment_totals(t, as_of), _complaint_counts(t, as_of), extra=("age_band",)
+        subs, usage, _payment_totals(t, as_of), _complaint_counts(t, as_of), extra=("gender", "age_band")
     )
     return out.select(
         *NAMES,
+        "gender",
         "age_band",
         zero("calls"),
         zero("seconds"),
@@ -50,6 +53,19 @@ def s01_subscriber_profile(t: Tables, as_of: AsOf) -> DataFrame:
     )
 
 
+def s01_subscriber_segments(t: Tables, as_of: AsOf) -> DataFrame:
+    """The profile with the segments that compare: call time above the age band's mean (T18), and
+    payments above the mean of any tariff used (T17; null without a tariff)."""
+    band = t18_above_age_average(t, as_of).select("subscribers_id", "above_band_avg")
+    tariff = (
+        t17_above_tariff_average(t, as_of)
+        .groupBy("subscribers_id")
+        .agg(F.max("above_tariff_avg").alias("above_tariff_avg"))
+    )
+    profile = s01_subscriber_profile(t, as_of)
+    return profile.join(band, "subscribers_id", "left").join(tariff, "subscribers_id", "left")
+
+
 def s02_service_performance(t: Tables, as_of: AsOf) -> DataFrame:
     """One row per service: tariff, calls, seconds, SMS, distinct users and the users' payment
     total (counted as in T3)."""
@@ -86,11 +102,12 @@ def s02_service_performance(t: Tables, as_of: AsOf) -> DataFrame:
     )
 
 
-def s03_call_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
-    """S3: every call (up to ``as_of`` if given) with caller names, receiver phone (C4), service,
-    tariff and call-kind names. The call table stays the streamed side of every join; the few-valued
-    lookups (tariff, call kind) are broadcast after a row-count check, the rest is sized by Spark."""
-    calls = t["calls"] if as_of is None else t["calls"].where(up_to("call_date", as_of))
+def s03_call_enrichment(t: Tables, as_of: AsOf | None = None, until: AsOf | None = None) -> DataFrame:
+    """S3: every call with caller names, receiver phone (C4), service, tariff and call-kind names.
+
+    ``as_of`` is taken as every report takes it and cuts nothing, as no window is named; ``until``
+    keeps the calls up to a time. The call table stays the streamed side of every join."""
+    calls = t["calls"] if until is None else t["calls"].where(up_to("call_date", until))
     calls = enrich_receiver_phone(calls, t["subscribers"])
     callers = t["subscribers"].select(
         F.col("subscribers_id").alias("caller_id"),
@@ -98,8 +115,8 @@ def s03_call_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
         F.col("surname").alias("caller_surname"),
     )
     services = t["services"].select("service_id", "service_name", "tariff_id")
-    tariffs = lookup(t["tariff_informations"].select("tariff_id", "tariff_name"))
-    kinds = lookup(t["call_type"].select("call_type_id", F.col("name").alias("kind")))
+    tariffs = t["tariff_informations"].select("tariff_id", "tariff_name")
+    kinds = t["call_type"].select("call_type_id", F.col("name").alias("kind"))
     cols = calls.columns
     return (
         calls.join(callers, "caller_id", "left")
@@ -112,8 +129,30 @@ def s03_call_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
     )
 
 
+def s03_sms_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
+    """S3: every SMS with sender names, SMS kind, service and tariff names."""
+    kinds = t["sms_types"].select("sms_type_id", F.col("name").alias("sms_type"))
+    services = t["services"].select("service_id", "service_name", "tariff_id")
+    tariffs = t["tariff_informations"].select("tariff_id", "tariff_name")
+    sms = t["sms_informations"].select("sms_id", "sender_id", "sms_date", "sms_content", "sms_type_id", "service_id")
+    out = sms.join(kinds, "sms_type_id", "left").join(services, "service_id", "left").join(tariffs, "tariff_id", "left")
+    out = attach_names(out, t["subscribers"], "sender_id")
+    return out.select(*sms.columns, "name", "surname", "sms_type", "service_name", "tariff_id", "tariff_name")
+
+
+def s03_payment_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
+    """S3: every payment with the payer's names and the payment method."""
+    methods = t["payment_method_type"].select("payment_type_id", F.col("name").alias("payment_method"))
+    pay = t["payments"].select("payment_id", "subscribers_id", "amount", "payment_type_id", "payment_date")
+    out = attach_names(pay.join(methods, "payment_type_id", "left"), t["subscribers"])
+    return out.select(*pay.columns, "name", "surname", "payment_method")
+
+
 PROFILES = {
     "s01_subscriber_profile": s01_subscriber_profile,
+    "s01_subscriber_segments": s01_subscriber_segments,
     "s02_service_performance": s02_service_performance,
     "s03_call_enrichment": s03_call_enrichment,
+    "s03_sms_enrichment": s03_sms_enrichment,
+    "s03_payment_enrichment": s03_payment_enrichment,
 }

@@ -27,7 +27,7 @@ from telcolens.functions.people import (
     zero,
 )
 from telcolens.functions.timewin import AsOf, as_of_text, restrict
-from telcolens.operators.joins import attach_names, fits, for_each_subscriber, lookup
+from telcolens.operators.joins import attach_names, for_each_subscriber
 from telcolens.operators.ranking import compare_to_group_mean, latest_per_key, top_k
 from telcolens.operators.rollup import ordered_concat, ordered_concat_parts
 from telcolens.operators.usage import (
@@ -41,7 +41,7 @@ NAMES = ("subscribers_id", "name", "surname")
 
 
 def shared_usage_key(as_of: AsOf) -> str:
-    """Key under which a batch run places the precomputed usage aggregate up to ``as_of``."""
+    """Key under which a batch run places the precomputed usage aggregate (of every fact)."""
     return f"usage_by_subscriber_service@{as_of_text(as_of)}"
 
 
@@ -102,7 +102,7 @@ def t02_last_payment(t: Tables, as_of: AsOf) -> DataFrame:
     last = latest_per_key(
         pay, "subscribers_id", [F.col("payment_date").desc_nulls_last(), F.col("payment_id").desc()]
     )
-    methods = lookup(t["payment_method_type"].select("payment_type_id", F.col("name").alias("payment_method")))
+    methods = t["payment_method_type"].select("payment_type_id", F.col("name").alias("payment_method"))
     out = (
         t["subscribers"].select(*NAMES)
         .join(last, "subscribers_id", "left")
@@ -122,7 +122,7 @@ def t03_active_service_totals(t: Tables, as_of: AsOf, require_active_tariff: boo
     svc = t["services"].where(service_active(as_of)).select("service_id", "service_name", "tariff_id")
     if require_active_tariff:
         active = t["tariff_informations"].where(F.col("status") == "ACTIVE").select("tariff_id")
-        svc = svc.join(lookup(active), "tariff_id", "left_semi")
+        svc = svc.join(active, "tariff_id", "left_semi")
     per_service = _service_users_amount(t, as_of)
     out = svc.join(per_service, "service_id", "left")
     return out.select("service_id", "service_name", zero("subscribers"), zero("amount", "decimal(38,2)"))
@@ -162,7 +162,7 @@ def t05_tariff_fee_calls(t: Tables, as_of: AsOf) -> DataFrame:
     """T5: per subscriber and tariff used, the tariff's monthly fee and the calls on that tariff.
     Subscribers without a tariff get one row with null tariff and 0 calls."""
     pairs = subscriber_tariff(_usage_agg(t, as_of), t["services"])
-    tariffs = lookup(
+    tariffs = (
         t["tariff_informations"].select(
             "tariff_id", "tariff_name", F.col("monthly_subscription").alias("monthly_fee")
         )
@@ -224,7 +224,8 @@ def t09_top10_complainers(t: Tables, as_of: AsOf, k: int = 10) -> DataFrame:
     top = top_k(counts, k, [F.col("complaints").desc(), F.col("subscribers_id").asc()])
     # ``top`` has at most k rows: broadcast it to pick the names without shuffling subscribers.
     names = t["subscribers"].select(*NAMES).join(F.broadcast(top.select("subscribers_id")), "subscribers_id", "left_semi")
-    return top.join(names, "subscribers_id", "left").select(*NAMES, "complaints")
+    out = top.join(names, "subscribers_id", "left").select(*NAMES, "complaints")
+    return out.orderBy(F.col("complaints").desc(), F.col("subscribers_id").asc())  # k rows
 
 
 def t10_sms_count_contents_12m(t: Tables, as_of: AsOf, months: int = 12) -> DataFrame:
@@ -305,7 +306,7 @@ def t13_sms_detail_12m(t: Tables, as_of: AsOf, months: int = 12) -> DataFrame:
     sms = restrict(t["sms_informations"], "sms_date", as_of, months).select(
         F.col("sender_id").alias("subscribers_id"), "sms_id", "sms_date", "sms_content", "sms_type_id"
     )
-    kinds = lookup(t["sms_types"].select("sms_type_id", F.col("name").alias("sms_type")))
+    kinds = t["sms_types"].select("sms_type_id", F.col("name").alias("sms_type"))
     subs = t["subscribers"].select(*NAMES)
     cols = (*NAMES, "sms_id", "sms_date", "sms_content", "sms_type")
     # SMS rows stay on the streamed side, so a heavy sender is split by AQE, never buffered.
@@ -364,7 +365,7 @@ def t17_above_tariff_average(t: Tables, as_of: AsOf) -> DataFrame:
         "total_paid",
         "tariff_avg_paid",
         "above_tariff_avg",
-        bounded_by=tariffs if fits(tariffs) else None,
+        known=tariffs,
     )
     return out.select(*NAMES, "tariff_id", "total_paid", "tariff_avg_paid", "above_tariff_avg")
 

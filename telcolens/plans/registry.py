@@ -86,8 +86,11 @@ def queries() -> dict[str, Query]:
         out[name] = _report(fn, _AS_OF_FOR.get(name, AS_OF))
     out["t03_active_service_totals_active_tariff"] = _report(_t03_active_tariff, AS_OF)
     out["s01_subscriber_profile"] = _report(PROFILES["s01_subscriber_profile"], AS_OF)
+    out["s01_subscriber_segments"] = _report(PROFILES["s01_subscriber_segments"], AS_OF)
     out["s02_service_performance"] = _report(PROFILES["s02_service_performance"], AS_OF)
     out["s03_call_enrichment"] = _tables_query(_s03)
+    out["s03_sms_enrichment"] = _report(PROFILES["s03_sms_enrichment"], AS_OF)
+    out["s03_payment_enrichment"] = _report(PROFILES["s03_payment_enrichment"], AS_OF)
     out["usage_union"] = _tables_query(_usage_union)
     out["subscriber_tariff"] = _tables_query(_subscriber_tariff)
     out["enrich_receiver_phone"] = _tables_query(_enrich)

@@ -57,7 +57,11 @@ DRIVER_FKS: tuple[tuple[str, str, str, str], ...] = (
     ("sms_informations", "sms_type_id", "sms_types", "sms_type_id"),
     ("sms_informations", "service_id", "services", "service_id"),
     ("complaints_and_support_requests", "subscribers_id", "subscribers", "subscribers_id"),
+    # Not a key of the model: subscribers who never sent an SMS, so that the check has something to find.
+    ("subscribers", "subscribers_id", "sms_informations", "sender_id"),
 )
+# Tariffs that are not on offer any more, as some of the sample rows are.
+TARIFF_STATUS = "CASE WHEN tariff_id < 'L' THEN 'PASSIVE' ELSE 'ACTIVE' END"
 
 
 # Declared schemas of the driver files that the mapping reads (never inferred: no footer jobs).
@@ -167,7 +171,7 @@ def _tariff_informations(d: DriverTables) -> DataFrame:
     return (
         d.raw("part").groupBy(F.col("p_type").alias("tariff_id"))
         .agg(F.min("p_retailprice").cast("decimal(18,4)").alias("monthly_subscription"))
-        .selectExpr("tariff_id", "tariff_id AS tariff_name", "monthly_subscription", "'ACTIVE' AS status")
+        .selectExpr("tariff_id", "tariff_id AS tariff_name", "monthly_subscription", f"{TARIFF_STATUS} AS status")
     )
 
 
@@ -266,7 +270,8 @@ services AS (
   FROM part),
 tariff_informations AS (
   SELECT p_type AS tariff_id, p_type AS tariff_name,
-         CAST(MIN(p_retailprice) AS DECIMAL(18,4)) AS monthly_subscription, 'ACTIVE' AS status
+         CAST(MIN(p_retailprice) AS DECIMAL(18,4)) AS monthly_subscription,
+         {TARIFF_STATUS.replace('tariff_id', 'p_type')} AS status
   FROM part GROUP BY p_type),
 calls AS (
   SELECT l.l_orderkey AS order_key, l.l_linenumber AS line_number, o.o_custkey AS caller_id,

@@ -69,15 +69,23 @@ def read_table(
     load_ts: AsOf,
     fmt: str = "parquet",
     columns: Sequence[str] | None = None,
+    null_value: str | None = None,
 ) -> DataFrame:
-    """A2: read one table's batch with an explicit schema (never inferred), then apply A3.
+    """A2: read one table's batch with the declared types (never inferred), then apply A3.
 
-    ``columns`` names the columns the files carry (default: all declared columns)."""
+    ``columns`` names the columns the files carry; by default they are taken from the files (footer or
+    header), so a column that the files omit gets its default and one that they hold keeps its nulls.
+    Values that don't fit the declared type are an error; ``null_value`` is the text that CSV files
+    use for null, if any."""
     spec = TABLES[table]
-    names = list(columns) if columns is not None else [c.name for c in spec.columns]
-    schema = T.StructType(
-        [T.StructField(c, LOAD_ONLY[c] if c in LOAD_ONLY else spec.column(c).dtype, True) for c in names]
-    )
+    declared = {c.name: c.dtype for c in spec.columns} | LOAD_ONLY
+    if columns is None:
+        there = spark.read.option("header", "true").format(fmt).load(path).columns
+        # CSV fields go by position, so undeclared ones are read (as text) and dropped.
+        names = there if fmt == "csv" else [c for c in there if c in declared]
+    else:
+        names = list(columns)
+    schema = T.StructType([T.StructField(c, declared.get(c, T.StringType()), True) for c in names])
     reader = spark.read.schema(schema)
     if fmt == "csv":
         # H1: dates arrive as 'YYYY-MM-DD' text, times as 'YYYY-MM-DD HH:MM:SS'.
@@ -85,7 +93,9 @@ def read_table(
             reader.option("header", "true")
             .option("dateFormat", "yyyy-MM-dd")
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+            .option("mode", "FAILFAST")
         )
+        reader = reader if null_value is None else reader.option("nullValue", null_value)
     return conform(reader.format(fmt).load(path), table, load_ts)
 
 
@@ -107,11 +117,14 @@ def with_month(df: DataFrame, table: str) -> DataFrame:
 
 
 def append(df: DataFrame, table: str, path: str) -> None:
-    """One batch append per table; facts are partitioned by event month."""
-    writer = with_month(df, table).write.mode("append")
-    if TABLES[table].event_time is not None:
-        writer = writer.partitionBy(MONTH_COLUMN)
-    writer.parquet(path)
+    """One batch append per table; facts are partitioned by event month.
+
+    Rows are rebalanced by month first, so a month gets few files, and a large month several."""
+    out = with_month(df, table)
+    if TABLES[table].event_time is None:
+        out.write.mode("append").parquet(path)
+    else:
+        out.hint("rebalance", MONTH_COLUMN).write.mode("append").partitionBy(MONTH_COLUMN).parquet(path)
 
 
 # The subscriber key of every table that carries one (the bucketing column of the co-located layout).
@@ -135,7 +148,8 @@ def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, name: str
     key = SUBSCRIBER_KEY[table]
     name = name or table
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, key)  # one file per bucket
+        .write.mode("overwrite")
         .bucketBy(buckets, key)
         .sortBy(key)
         .option("path", path)

@@ -42,7 +42,12 @@ def ingest_stream(
     """The conformed stream of one table's landing files (not started)."""
     reader = spark.readStream.schema(landing_schema(table, columns)).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = (
+            reader.option("header", "true")
+            .option("dateFormat", "yyyy-MM-dd")
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+            .option("mode", "FAILFAST")
+        )
     raw = reader.load(landing_dir)
     load_ts = F.current_timestamp().cast("timestamp_ntz")  # sysdate: fixed per micro-batch
     out = conform(raw, table, load_ts)

@@ -8,12 +8,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+
+from telcolens.plans import registry
 from conftest import SMOKE_SF
 from telcolens.sources.driver_adapter import ADAPTED_COLUMNS, driver_tables
 from tools.compare_oracle import TABLES, canon
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

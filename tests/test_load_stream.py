@@ -68,8 +68,8 @@ def test_csv_dates_and_catalog_ddl(spark):
 
     df = read_table(spark, "tests/fixtures/subscribers.csv", "subscribers", AS_OF, fmt="csv",
                     columns=["subscribers_id", "name", "surname", "patronymic", "birth_date", "gender",
-                             "email", "phone_number", "status", "changed_date"])
-    # explicit NULL tokens are text here; the date column parses from 'YYYY-MM-DD'
+                             "email", "phone_number", "status", "changed_date"], null_value="NULL")
+    # NULL tokens must be declared, or they fail the load; the date column parses from 'YYYY-MM-DD'
     r = df.where("subscribers_id = 1").collect()[0]
     assert str(r["birth_date"]) == "1990-01-01"
     loc = scratch() + "/payments"

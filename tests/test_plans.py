@@ -7,10 +7,11 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
+
+from telcolens.plans import registry
 from conftest import SMOKE_SF
 
-QUERIES = entry.queries()
+QUERIES = registry.queries()
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "PythonUDF", "FlatMapGroupsInPandas")
 
