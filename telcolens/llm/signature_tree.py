@@ -287,6 +287,38 @@ def bitmaps(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def sized_bitmaps(values: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """A token bitmap of each set with about two bits per token or more: a power of two, BITS at least."""
+    size = np.diff(first)
+    width = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(1, 2 * size))).astype(np.int64))
+    out = [b""] * len(size)
+    for i in range(len(size)):
+        flat = np.zeros(width[i], bool)
+        flat[((values[first[i] : first[i + 1]] >> np.uint64(20)) % np.uint64(width[i])).astype(np.int64)] = True
+        out[i] = np.packbits(flat, bitorder="little").tobytes()
+    return out
+
+
+def links_by_bitmap(bitmap: list[bytes], size, low, mine: list[int], theirs: list[int], rule: Rule) -> list[tuple[int, int]]:
+    """``tree_links`` by bitmaps alone, of documents whose bitmaps have different lengths.
+
+    Sizes that can link give equal lengths, or one twice the other's: that one is folded (its halves are combined
+    by OR), which is the bitmap it would have at the shorter length."""
+    length = np.array([len(b) for b in bitmap])
+    joined, out = np.arange(len(bitmap)), []
+    for n in np.unique(length):
+        maps = np.zeros((len(bitmap), n // 8), np.uint64)
+        for i in np.flatnonzero((length == n) | (length == 2 * n)):
+            whole = np.frombuffer(bitmap[i], "<u8")
+            maps[i] = whole if length[i] == n else whole[: n // 8] | whole[n // 8 :]
+        pick = lambda at, k: [i for i in at if length[i] == k]
+        out += tree_links(size, maps, low, pick(mine, n), pick(theirs, n), joined, rule, None)
+        out += tree_links(size, maps, low, pick(mine, n), pick(theirs, 2 * n), joined, rule, None)
+        if mine != theirs:
+            out += tree_links(size, maps, low, pick(theirs, n), pick(mine, 2 * n), joined, rule, None)
+    return out
+
+
 class Tree:
     """A signature tree over documents: ``size`` of each, ``maps``: token bitmaps, ``low``: lowest hash."""
 
@@ -465,10 +497,9 @@ def possible_links(members: DataFrame, rule: Rule) -> DataFrame:
     def compare(key: tuple, docs: list[dict]) -> Iterator[pa.RecordBatch]:
         node, size = np.array([d["node"] for d in docs]), np.array([d["size"] for d in docs])
         low = np.array([d["low"] for d in docs])
-        maps = np.frombuffer(b"".join([d["bitmap"] for d in docs]), "<u8").reshape(len(docs), -1)
         mine = [i for i, d in enumerate(docs) if d["own"] == key[1]]
         theirs = mine if key[1] == key[2] else [i for i, d in enumerate(docs) if d["own"] == key[2]]
-        found = tree_links(size, maps, low, mine, theirs, np.arange(len(docs)), rule, None)
+        found = links_by_bitmap([d["bitmap"] for d in docs], size, low, mine, theirs, rule)
         yield from edge_batches(np.array([(node[a], node[b]) for a, b in found], np.int64).reshape(-1, 2))
 
     by_task = tasks.repartition("root", "a", "b").sortWithinPartitions("root", "a", "b")
@@ -486,7 +517,7 @@ def shingled(docs: DataFrame, rule: Rule) -> DataFrame:
             node = nodes_of(values, first)
             low = np.zeros(len(node), np.int64)
             low[node != 0] = (values[first[:-1][node != 0]] >> np.uint64(1)).astype(np.int64)
-            maps = pa.array([m.tobytes() for m in bitmaps(values, first)], pa.binary())
+            maps = pa.array(sized_bitmaps(values, first), pa.binary())
             columns = [part.column("doc_id").cast(pa.int64()), pa.array(np.diff(first)), pa.array(node, mask=node == 0), pa.array(low), maps]
             yield pa.RecordBatch.from_arrays(columns, names)
 
