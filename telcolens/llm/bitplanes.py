@@ -14,7 +14,7 @@ Shard layout (little-endian)::
     footer     u64 offset of index, u64 blocks, u64 offset of documents, u64 documents, u64 ids, u8 bits a plane, "BPL1"
 
 Tokens come from the tokenizers library. Its full pipeline spends most of its time on pre-tokenization, so a
-worker remembers the ids of text units: a text is cut at spaces, which the byte-level pre-tokenizer never
+worker remembers the ids of text units and pieces: a text is cut at spaces, which the byte-level pre-tokenizer never
 crosses unless a space touches other white space. Texts with such white space are cut by the pre-tokenizer's
 own pattern; texts with other rare characters or special tokens go to the library whole. All three ways give
 the library's ids (tested).
@@ -53,8 +53,8 @@ END_ID = 2
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters on whose classes all Unicode versions agree.
 RARE = re.compile("[^\t\n\r -~¡-ӿ]")
-# Text units and, for the slower step below, pieces that a worker remembers, at most (about 200 bytes each).
-UNITS, WORDS = 300_000, 1_000_000
+# Text units and pieces that a worker remembers, at most (about 200 bytes each).
+KNOWN = 600_000
 
 
 def default_tokenizer() -> str:
@@ -79,8 +79,8 @@ class Encoder:
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         names = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(kept)))}
         self.byte_names = "".join(names[b] for b in range(256))
-        self.units: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        # Units and pieces share one memory: a unit that is one piece has the piece's ids, wherever it was met.
+        self.known: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -92,22 +92,27 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def keep(self, text: str, ids: bytes) -> bytes:
+        if len(self.known) >= KNOWN:
+            self.known.clear()
+        self.known[text] = ids
+        return ids
+
     def word(self, piece: str) -> bytes:
-        got = self.words.get(piece)
+        got = self.known.get(piece)
         if got is None:
             spelled = piece.encode().decode("latin-1").translate(self.byte_names)
             ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            got = self.words[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            got = self.keep(piece, struct.pack(f"<{len(ids)}I", *ids))
         return got
 
     def unit(self, unit: str) -> bytes:
-        got = self.units.get(unit)
+        got = self.known.get(unit)
         if got is None:
-            if len(self.units) >= UNITS:
-                self.units.clear()
-            got = self.units[unit] = b"".join([self.word(p) for p in self.pieces.findall(unit)])
+            pieces = self.pieces.findall(unit)
+            if len(pieces) == 1:
+                return self.word(unit)
+            got = self.keep(unit, b"".join([self.word(p) for p in pieces]))
         return got
 
     def encode(self, text: str) -> bytes:
@@ -118,7 +123,7 @@ class Encoder:
         first, *rest = text.split(" ")
         rest = [" " + r for r in rest]
         try:
-            return b"".join([self.unit(first), *map(self.units.__getitem__, rest)])
+            return b"".join([self.unit(first), *map(self.known.__getitem__, rest)])
         except KeyError:
             return b"".join([self.unit(u) for u in (first, *rest)])
 
