@@ -48,7 +48,7 @@ BITS = 1024
 NODES = 1 << 12
 LEAF, FANOUT = 16, 8
 # Keys that a map task holds before it hands them over.
-HELD = 1 << 21
+HELD = 1 << 19
 
 
 @dataclass(frozen=True)
