@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +75,8 @@ def packed_blocks(docs: DataFrame, remainder: int) -> DataFrame:
 
     def blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size = 0
+        size = made = 0
+        task = TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
             ids, lengths, tokens = (sum((x[0] for x in held), []), *(np.concatenate([x[i] for x in held]) for i in (1, 2)))
@@ -83,8 +85,8 @@ def packed_blocks(docs: DataFrame, remainder: int) -> DataFrame:
             ends = np.cumsum(lengths)
             # Of the tokens that are learned from, begins don't count as tokens.
             learned = int((lengths[trains] - 1).sum())
-            first = ids[0] or 0
-            name = int(mix(np.array([first & (2**64 - 1), len(ids), int(ends[-1])], np.uint64) ^ tokens[:3].sum())[0] >> np.uint64(1))
+            # Blocks are written once before they are used, so that no two have one name, however alike their rows are.
+            name = (task << 32) + made
             row = [name, np.array([d or 0 for d in ids], "<i8").tobytes(), np.array([d is None for d in ids], "u1").tobytes()]
             row += [pack(lengths), trains.astype("u1").tobytes(), pack_sorted(words), pack(at), learned]
             held.clear()
@@ -105,6 +107,7 @@ def packed_blocks(docs: DataFrame, remainder: int) -> DataFrame:
             if size >= BLOCK:
                 yield flush()
                 size = 0
+                made += 1
         if held:
             yield flush()
 
