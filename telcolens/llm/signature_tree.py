@@ -506,9 +506,10 @@ def possible_links(members: DataFrame, rule: Rule) -> DataFrame:
     return by_task.mapInArrow(lambda parts: grouped(parts, ["root", "a", "b"], compare), EDGES)
 
 
-def shingled(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, node (null: no shingles), low (lowest hash), bitmap of each document, written."""
-    ddl = "doc_id long, n_shingles long, node long, low long, bitmap binary"
+def shingled(docs: DataFrame, rule: Rule, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, node (null: no shingles), low (lowest hash), bitmap of each document and the columns ``also``
+    (numbers), written."""
+    ddl = "doc_id long, n_shingles long, node long, low long, bitmap binary" + "".join(f", {c} long" for c in also)
     names = [x.split()[0] for x in ddl.split(", ")]
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -519,9 +520,10 @@ def shingled(docs: DataFrame, rule: Rule) -> DataFrame:
             low[node != 0] = (values[first[:-1][node != 0]] >> np.uint64(1)).astype(np.int64)
             maps = pa.array(sized_bitmaps(values, first), pa.binary())
             columns = [part.column("doc_id").cast(pa.int64()), pa.array(np.diff(first)), pa.array(node, mask=node == 0), pa.array(low), maps]
+            columns += [part.column(c) for c in also]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return written(docs.select("doc_id", "text").mapInArrow(count, ddl), "shingled")
+    return written(docs.select("doc_id", "text", *also).mapInArrow(count, ddl), "shingled")
 
 
 def with_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
@@ -547,11 +549,11 @@ def with_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     return written(got.mapInArrow(sets, "root long, total long, node long, shingles binary"), "sets")
 
 
-def classes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """One row per document: doc_id, n_shingles, node, component_id."""
+def rooted(docs: DataFrame, rule: Rule, also: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, n_shingles, node, ``also``, root (the component's name; null: no shingles)."""
     spark = docs.sparkSession
-    shingles = shingled(docs, rule)
-    rows = shingles.select("doc_id", "n_shingles", "node")
+    shingles = shingled(docs, rule, also)
+    rows = shingles.select("doc_id", "n_shingles", "node", *also)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     near = written(components(star_edges(in_buckets(docs, rule, buckets))), "routed")
     # One row per node: of its documents all but the ids are equal.
@@ -566,7 +568,12 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     links = whole_groups(sets.where(F.col("total") <= BLOCK), rule)
     links = links.unionByName(large_groups(sets.where(F.col("total") > BLOCK), rule))
     roots = written(components(links), "roots")
-    named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def classes(docs: DataFrame, rule: Rule) -> DataFrame:
+    """One row per document: doc_id, n_shingles, node, component_id."""
+    named = rooted(docs, rule)
     ids = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = named.join(ids, "root", "left")
     return out.select("doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
@@ -578,10 +585,15 @@ COMMON = Rule()
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id stays. Rows that repeat one id stay or go
-    together; documents without an id stay."""
-    gone = classes(docs, COMMON).where("node is not null and doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Pipeline stage: of each component one row stays, that of the smallest id (a missing id comes last, then the hash
+    of the text decides, then the row's number). Rows stay or go one by one: repeats of a row go, rows without an id
+    go like others, and a row that is no near copy stays whatever other rows have its id. Rows without words stay."""
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    rows = written(rooted(numbered.withColumn("_text", F.xxhash64("text")), COMMON, ("_text", "_row")).where("root is not null"), "rooted")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_text", "_row")).alias("first")
+    kept = rows.groupBy("root").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").select("root", F.col("first._row").alias("_kept"))
+    gone = rows.join(kept, "root").where("_row <> _kept").select("_row")
+    return numbered.join(gone, "_row", "left_anti").select(docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

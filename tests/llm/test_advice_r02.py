@@ -6,7 +6,7 @@ import math
 import zlib
 from collections import Counter
 
-from telcolens.llm import suffix_tree_lm
+from telcolens.llm import signature_tree, suffix_tree_lm
 from telcolens.llm.common import small_batches
 
 
@@ -24,3 +24,16 @@ def test_equal_files_are_blocks_apart(spark, tmp_path):
     want = Counter((r["doc_id"], round(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in [*r["text"].split(), "</s>"]), 6)) for r in rows)
     got = suffix_tree_lm.lm_scores(docs).collect()
     assert Counter((r["doc_id"], round(r["base_score"], 6)) for r in got) == want and {r["train_tokens"] for r in got} == {n}
+
+
+def test_one_row_of_each_group_stays(spark):
+    small_batches(spark)
+    base = [f"w{i}" for i in range(100)]
+    near = " ".join([*base[:-1], "changed"])
+    far = [" ".join(f"{x}{i}" for i in range(60)) for x in "abcd"]
+    rows = [(1, " ".join(base)), (1, " ".join(base)), (2, near), (None, near), (2, far[0]), (None, far[1]), (None, far[1]), (None, far[2]), (5, far[2]), (6, far[3]), (7, None), (None, "")]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string").repartition(3)
+    kept = signature_tree.stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(1, " ".join(base)), (2, far[0]), (None, far[1]), (5, far[2]), (6, far[3]), (7, None), (None, "")]
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want)
