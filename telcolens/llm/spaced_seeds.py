@@ -1,14 +1,20 @@
 """Benchmark decontamination by spaced-seed hashing (DataFrame and SQL functions only).
 
-Words are lower-cased and freed of all characters but letters and digits. A fixed mask selects some of the words
+Words are lower-cased and freed of all characters but letters and digits; where a script sets no spaces between words
+(``UNSPACED``), each letter is a word. A fixed mask selects some of the words
 of a window and ignores the others, so a substituted word in an ignored place doesn't hide a match. Hashes of the
 selected words of every window, for every mask, of benchmark items and documents are joined. Each hit gives a
 diagonal (document position minus item position); diagonals are made distinct, and on each the words of item and
 document are compared place by place: the best stretch scores 1 for an equal word and -1 for another. A document is
-contaminated by an item if a stretch scores ``LEAST`` or more (or as many as the item has words, if fewer).
+contaminated by an item if a stretch scores ``LEAST`` or more, or if ``SHARE`` of the item's words are equal on the
+diagonal, which short items reach with a substitution: 4 of 5 words, 8 of 10. (From 15 words on, that share always
+scores LEAST.)
 
-Items with equal words are one, under the smallest item_id. Items of fewer words than the shortest mask spans are
-not searched for. Nulls: a null text has no words and matches nothing; a null doc_id or item_id is kept. Repeated rows
+Items too short for the masks have ``SHORT`` ones of their own, which are used only if the benchmark has such items:
+items of up to 4 words are found by all their words, those of 5 and 6 with a substitution in any place. The masks find
+a substitution in any place of 7 words or more; two or more in an item of few words may leave no mask whole.
+
+Items with equal words are one, under the smallest item_id. Nulls: a null text has no words and matches nothing; a null doc_id or item_id is kept. Repeated rows
 of a document give one row. Empty tables give no rows. Other columns are not read.
 
 Scale: documents are read where they lie; hashes are joined map-side against the benchmark's, which are broadcast
@@ -27,6 +33,12 @@ from telcolens.llm.common import table, written
 # Selected places (1) and ignored ones (0) of the fixed masks.
 MASKS = ("11011", "1101001", "1010011")
 LEAST = 9
+# Equal words of an item that are enough, as a fraction.
+SHARE = (4, 5)
+# Scripts without spaces between words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+# Further masks for items of exactly so many words.
+SHORT = {1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("1111", "10111", "11101"), 6: ("101111", "111101")}
 # Rows that are broadcast, at most: some 50 bytes each.
 FEW = 500_000
 
@@ -34,7 +46,7 @@ FEW = 500_000
 def words(text: Column) -> Column:
     """Lower-case words of letters and digits."""
     clean = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N} \t-\r]+", "")
-    return F.filter(F.split(clean, r"[ \t-\r]+"), lambda w: w != "")
+    return F.filter(F.split(F.regexp_replace(clean, UNSPACED, " $0 "), r"[ \t-\r]+"), lambda w: w != "")
 
 
 def row_key() -> Column:
@@ -42,22 +54,35 @@ def row_key() -> Column:
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text"))
 
 
-def seeds(df: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep``, pos (from 0) and seed of each window and mask of ``df`` (column h: word hashes)."""
+def seeds(df: DataFrame, keep: list[str], masks: dict[str, set[int]], whole: bool) -> DataFrame:
+    """``keep``, pos (from 0) and seed of each window and mask of ``df`` (column h: word hashes). ``masks``: the numbers
+    of words of the items that a mask is for (empty: all); ``whole``: the rows are items."""
 
-    def windows(number: int, mask: str) -> Column:
+    def windows(number: int, mask: str, sizes: set[int]) -> Column:
         places = [i for i, c in enumerate(mask) if c == "1"]
         starts = F.sequence(F.lit(0), F.size("h") - len(mask))
         hashes = F.transform(starts, lambda i: F.xxhash64(F.lit(number), *[F.get("h", i + p) for p in places]))
-        return F.when(F.size("h") >= len(mask), hashes).otherwise(F.array().cast("array<bigint>"))
+        used = F.size("h") >= len(mask)
+        used = used & F.size("h").isin(sorted(sizes)) if whole and sizes else used
+        return F.when(used, hashes).otherwise(F.array().cast("array<bigint>"))
 
-    columns = [windows(i, mask) for i, mask in enumerate(MASKS)]
+    columns = [windows(i, mask, sizes) for i, (mask, sizes) in enumerate(masks.items())]
     # Windows of a shorter mask reach farther: places without a window are null and match nothing.
     return df.select(*keep, F.posexplode(F.arrays_zip(*[c.alias(f"s{i}") for i, c in enumerate(columns)])).alias("pos", "s")).select(
-        *keep, "pos", F.explode(F.array(*[F.col("s")[f"s{i}"] for i in range(len(MASKS))])).alias("seed")
+        *keep, "pos", F.explode(F.array(*[F.col("s")[f"s{i}"] for i in range(len(columns))])).alias("seed")
     )
 
 
+def masks_for(items: DataFrame) -> dict[str, set[int]]:
+    """The masks, and those of SHORT that ``items`` (column words) have a use for."""
+    masks: dict[str, set[int]] = {mask: set() for mask in MASKS}
+    sizes = items.select(F.size("words").alias("n")).where(F.col("n") <= max(SHORT)).distinct()
+    for n in sorted(r["n"] for r in sizes.collect()):  # six rows at most
+        for mask in SHORT[n]:
+            masks.setdefault(mask, set()).add(n)
+    return masks
+
+
 def few(df: DataFrame, rows: int = FEW) -> DataFrame:
     """``df`` (a written table), to be broadcast if it has at most ``rows`` rows."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -66,10 +91,11 @@ def few(df: DataFrame, rows: int = FEW) -> DataFrame:
 def hit_diagonals(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct (row_key, item, diagonal) of equal seeds, written."""
     hashes = F.transform("words", lambda w: F.xxhash64(w)).alias("h")
-    theirs = seeds(items.select("item", hashes), ["item"]).where("seed is not null")
+    masks = masks_for(items)
+    theirs = seeds(items.select("item", hashes), ["item"], masks, True).where("seed is not null")
     theirs = written(theirs.select("seed", "item", F.col("pos").alias("item_pos")), "seeds")
     d = docs.select(row_key().alias("row_key"), words(F.col("text")).alias("words"))
-    ours = seeds(d.select("row_key", hashes), ["row_key"])
+    ours = seeds(d.select("row_key", hashes), ["row_key"], masks, False)
     hits = ours.join(few(theirs), "seed").select("row_key", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
     return written(hits.distinct(), "hits")
 
@@ -109,8 +135,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> D
     )
     found = found.withColumn("equal", F.explode(compared))
     score, same = best_stretch(F.col("equal.equal"))
-    scored = found.select("row_key", "doc_id", "item_id", F.size("item_words").alias("item_words"), F.col("equal.diagonal").alias("first_word"), score.alias("score"), same.alias("matched"))
-    scored = scored.where(F.col("score") >= F.least(F.lit(least), F.col("item_words")))
+    equal = F.aggregate("equal.equal", F.lit(0), lambda n, e: n + e)
+    scored = found.select("row_key", "doc_id", "item_id", F.size("item_words").alias("item_words"), F.col("equal.diagonal").alias("first_word"), score.alias("score"), same.alias("matched"), equal.alias("equal"))
+    scored = scored.where((F.col("score") >= least) | (F.col("equal") * SHARE[1] >= F.col("item_words") * SHARE[0]))
     best = F.max(F.struct("score", "matched", (-F.col("first_word")).alias("before"))).alias("best")
     return scored.groupBy("row_key", "doc_id", "item_id", "item_words").agg(best).select(
         "row_key", "doc_id", "item_id", F.col("best.score").alias("score"), F.col("best.matched").alias("matched"), "item_words", (-F.col("best.before")).alias("first_word")

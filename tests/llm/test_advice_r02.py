@@ -6,7 +6,7 @@ import math
 import zlib
 from collections import Counter
 
-from telcolens.llm import signature_tree, suffix_tree_lm
+from telcolens.llm import signature_tree, spaced_seeds, suffix_tree_lm
 from telcolens.llm.common import small_batches
 
 
@@ -37,3 +37,18 @@ def test_one_row_of_each_group_stays(spark):
     assert kept.columns == docs.columns
     want = [(1, " ".join(base)), (2, far[0]), (None, far[1]), (5, far[2]), (6, far[3]), (7, None), (None, "")]
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want)
+
+
+def test_short_and_unspaced_items_are_found(spark):
+    chinese, changed = "敏捷的棕色狐狸跳过了那只懒狗", "敏捷的棕色狐狸跑过了那只懒狗"
+    items = {1: "forty two", 2: "a b c d e", 3: "f g h i j k", 4: "l m n o p q r s t u", 5: chinese, 6: "unique", 7: "v w x y"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows, want = [(0, "forty one two a b c f g h l m n o"), (1, "start Forty two! end"), (2, f"這是{changed}。"), (3, "z unique"), (4, "x v w x y"), (5, "v w z y")], {(1, 1), (2, 5), (3, 6), (4, 7)}
+    for item in (2, 3, 4):  # a substitution in any place
+        words = items[item].split()
+        for i in range(len(words)):
+            doc = 100 * item + i
+            rows.append((doc, " ".join(["and", *words[:i], "other", *words[i + 1 :], "so"])))
+            want.add((doc, item))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in spaced_seeds.contaminated(docs, bench).collect()} == want
