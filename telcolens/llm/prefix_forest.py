@@ -1,43 +1,50 @@
 """Approximate nearest neighbours by a hash-prefix forest (LSH forest) under Euclidean distance.
 
 Each of ``TREES`` trees gives every vector a string of ``BITS`` hash bits: the sides of random hyperplanes through the
-mean of all vectors. A tree is the array of its vectors sorted by that string; all vectors that share a query's first
-bits lie together. A query descends in every tree to the vectors of its longest common prefix and ascends in all trees
-together, to shorter prefixes, until enough candidates are expected to hold its neighbours; candidates are ranked by
-exact distances on the original vectors.
-
-The level at which the ascent stops is fitted, not fixed: for a bounded sample of ``SAMPLE`` queries the true
-neighbours are found by a pass over all vectors, and the longest prefix is taken at which the trees together miss a
-true neighbour with a chance of at most ``MISS``, by the collision probability 1 - angle / pi of a bit. A query that
-then has fewer than k candidates ascends to the root, that is, meets all vectors. All vectors are indexed and no
-candidate list is cut. Data without structure need short prefixes and so many candidates; clustered data, long ones.
+mean of all vectors. A tree is the array of its vectors sorted by that string, cut into blocks; all vectors that share a
+query's first bits lie together, a range found by binary search. A query begins in every tree at the range of all its
+bits and ascends in all trees together, to ranges of shorter prefixes; candidates are ranked by exact distances on the
+original vectors.
+
+Each query stops for itself: at the level (prefix length) at which it has k candidates and would miss its true
+neighbours with a mean chance of at most ``MISS``. Its true i-th neighbour is no farther than its i-th candidate, so the
+angle between them around the mean is at most the widest one that this distance allows, given the query's distance from
+the mean and the least one of all vectors; the chance follows from the collision probability 1 - angle / pi of a
+bit. Until then it ascends to the longest prefix that satisfies this for the candidates found so far, but by a third of its
+level at most. Prefixes of fewer than log2(trees) bits hold more in all trees than there are vectors, so a query that
+ascends so far goes to the root and meets all vectors. All vectors are indexed and no candidate list is cut. Data
+without structure send many queries to the root; queries in clusters stop at long prefixes.
 
 Equal vectors are one: it carries the k + 1 smallest ids of its rows, which is all a result can show. Vectors that
 are null, empty, zero or hold null or non-finite components take no part. Vectors of different lengths do not meet.
 Ties go to the smaller vec_id. Repeated rows (equal id and vector) are one. Empty tables give no rows. Only vec_id and
 embedding are read; rows with a null id take no part.
 
-Scale: the index is TREES copies of the vectors, dealt by (tree, prefix); cells over ``CELL`` vectors are cut in
-blocks, each query meeting all blocks of its cell. A task holds one block. What leaves a task is k + 1 rows per query
-and block. The driver holds the mean and the sample's neighbours.
+Scale: the index is TREES copies of the vectors, sorted once by (tree, string) and written as a table bucketed by block
+(``CELL`` vectors at most), so that the levels of the ascent move queries only. A query goes to the blocks its range
+lies in, by an equal join on the prefix. At the root, blocks of vectors meet blocks of queries. What leaves a task is
+k + 1 rows per query and block. The driver holds the mean, the least distance from it and the levels in use (``BITS`` numbers at most).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from telcolens.llm.common import batches, table, written
+from telcolens.llm.common import batches, shared_dir, table, written
 from telcolens.llm.signature_tree import grouped
 
 TREES, BITS = 32, 24
-SAMPLE, MISS = 64, 0.03
+MISS = 0.03
 CELL = 4096
 SEED = 20240201
 
@@ -60,10 +67,10 @@ def by_length(part: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
         yield int(n), part.filter(pa.array(lengths == n))
 
 
-def prefixes(x: np.ndarray, mean: np.ndarray, trees: int, bits: int, level: int) -> np.ndarray:
-    """The first ``level`` bits of every vector in every tree, as numbers: (vectors, trees)."""
-    side = ((x - mean) @ planes(x.shape[1], trees, bits)).reshape(len(x), trees, bits)[:, :, :level] > 0
-    return (side * (1 << np.arange(level - 1, -1, -1))).sum(axis=2).astype(np.int64)
+def strings(x: np.ndarray, mean: np.ndarray, trees: int, bits: int) -> np.ndarray:
+    """The hash strings of every vector in every tree, as numbers: (vectors, trees)."""
+    side = ((x - mean) @ planes(x.shape[1], trees, bits)).reshape(len(x), trees, bits) > 0
+    return (side * (1 << np.arange(bits - 1, -1, -1))).sum(axis=2).astype(np.int64)
 
 
 def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -108,82 +115,179 @@ def means(vectors: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
-def fitted_level(vectors: DataFrame, queries: DataFrame, mean: dict[int, np.ndarray], k: int, trees: int, bits: int) -> int:
-    """The longest prefix at which a neighbour of a sampled query is missed with a chance of MISS at most."""
-    picked = queries.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).collect()  # the bounded sample
-    asked = [(r["rep"], np.array(r["vector"], np.float64)) for r in picked]
-    schema = pa.schema([("q", pa.int64()), ("d", pa.float64()), ("angle", pa.float64())])
+def least_norms(vectors: DataFrame, mean: dict[int, np.ndarray]) -> dict[int, float]:
+    """The least distance from the mean, of the vectors of each length."""
 
-    def nearest(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, list[tuple[float, float]]] = {q: [] for q, _ in asked}
+    def least(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for n, rows in by_length(part):
-                x, ids, m = matrix(rows.column("vector")), rows.column("rep").to_numpy(), mean[n]
-                for q, v in asked:
-                    if len(v) == n:
-                        d = distances(x, v)
-                        near = np.argsort(d, kind="stable")[: k + 1]
-                        a, b = x[near] - m, v - m
-                        cos = (a @ b) / np.maximum(1e-300, np.linalg.norm(a, axis=1) * np.linalg.norm(b))
-                        found = [(float(e), float(f)) for i, e, f in zip(ids[near], d[near], np.arccos(np.clip(cos, -1, 1))) if i != q]
-                        best[q] = sorted([*best[q], *found])[:k]
-        yield from batches(({"q": q, "d": d, "angle": a} for q, rows in best.items() for d, a in rows), schema)
-
-    w = Window.partitionBy("q").orderBy("d", "angle")
-    found = vectors.select("rep", "vector").mapInArrow(nearest, "q long, d double, angle double")
-    angles = np.array([r["angle"] for r in found.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).collect()])
-    level = 0
-    while level < bits and len(angles) and ((1 - (1 - angles / np.pi) ** (level + 1)) ** trees).mean() <= MISS:
-        level += 1
-    return level
-
-
-def in_cells(vectors: DataFrame, mean: dict[int, np.ndarray], trees: int, bits: int, level: int) -> DataFrame:
-    """(dim, tree, prefix, rep, vector) of each vector in each tree. Level 0: one tree, all together."""
-    schema = "dim int, tree int, prefix long, rep long, vector binary"
+            found = [(n, float(distances(matrix(rows.column("vector")), mean[n]).min())) for n, rows in by_length(part)]
+            yield pa.RecordBatch.from_pylist([{"dim": n, "v": v} for n, v in found], pa.schema([("dim", pa.int32()), ("v", pa.float64())]))
+
+    got = vectors.select("vector").mapInArrow(least, "dim int, v double").groupBy("dim").agg(F.min("v").alias("v"))
+    return {r["dim"]: r["v"] for r in got.collect()}  # one row per length
+
+
+def widest(d: np.ndarray, norm: float, least: float) -> np.ndarray:
+    """The widest angle around the mean to a vector at distance ``d``, if no vector is nearer to the mean than ``least``."""
+    other = np.maximum(least, np.sqrt(np.maximum(0.0, norm * norm - d * d)))
+    if not norm:
+        return np.full(len(d), np.pi)
+    cos = (norm * norm + other * other - d * d) / np.maximum(1e-300, 2 * norm * other)
+    return np.where(other > 0, np.arccos(np.clip(cos, -1, 1)), np.pi)
+
+
+FOUND = "q long, rep long, score double, angle double"
+FOUND_ARROW = pa.schema([("q", pa.int64()), ("rep", pa.int64()), ("score", pa.float64()), ("angle", pa.float64())])
+
+
+def nearest(q: int, v: np.ndarray, x: np.ndarray, ids: np.ndarray, mean: np.ndarray, least: float, k: int) -> pa.RecordBatch:
+    """The k + 1 nearest of the vectors ``x`` to ``v``, with the widest angles that their distances allow."""
+    d = distances(x, v)
+    near = np.lexsort((ids, d))[: k + 1]
+    angle = widest(d[near], float(np.linalg.norm(v - mean)), least)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(near), q)), pa.array(ids[near]), pa.array(d[near]), pa.array(angle)], schema=FOUND_ARROW)
+
+
+def number_type(vectors: DataFrame) -> str:
+    """Floats are kept as they are given, all else as doubles."""
+    return "<f4" if isinstance(vectors.schema["vector"].dataType.elementType, T.FloatType) else "<f8"
+
+
+def sorted_trees(vectors: DataFrame, mean: dict[int, np.ndarray], trees: int, bits: int) -> DataFrame:
+    """The index: block, dim, tree and, sorted by string, strings, reps and vectors of the block; bucketed by block."""
+    kind = number_type(vectors)
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for n, rows in by_length(part):
-                x, rep = matrix(rows.column("vector")), rows.column("rep").to_numpy()
-                of = prefixes(x, mean[n], trees, bits, level) if level else np.zeros((len(x), 1), np.int64)
-                raw = pa.array([v.tobytes() for v in x])
-                for t in range(of.shape[1]):
-                    columns = [pa.array(np.full(len(x), n, np.int32)), pa.array(np.full(len(x), t, np.int32)), pa.array(of[:, t]), pa.array(rep), raw]
-                    yield pa.RecordBatch.from_arrays(columns, ["dim", "tree", "prefix", "rep", "vector"])
-
-    return vectors.select("rep", "vector").mapInArrow(deal, schema)
-
-
-def met(vectors: DataFrame, queries: DataFrame, mean: dict[int, np.ndarray], k: int, trees: int, bits: int, level: int) -> DataFrame:
-    """(q, rep, score): for each query the k + 1 nearest of each block that it meets (itself included)."""
-    cells = in_cells(vectors, mean, trees, bits, level)
-    cell = ["dim", "tree", "prefix"]
-    # Prefixes only are counted: no vector moves for it.
-    blocks = cells.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
-    blocks = written(blocks, "cells")
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    theirs = cells.join(blocks, cell).select(*cell, block.alias("block"), F.lit(False).alias("asks"), "rep", "vector")
-    asked = in_cells(queries, mean, trees, bits, level).join(blocks, cell)
-    asked = asked.select(*cell, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "rep", "vector")
-
-    def search(_: tuple, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+                x, rep = matrix(rows.column("vector")), rows.column("rep")
+                of = strings(x, mean[n], trees, bits)
+                raw = pa.array([v.tobytes() for v in x.astype(kind)])
+                for t in range(trees):
+                    columns = [pa.array(np.full(len(x), n, np.int32)), pa.array(np.full(len(x), t, np.int32)), pa.array(of[:, t]), rep, raw]
+                    yield pa.RecordBatch.from_arrays(columns, ["dim", "tree", "string", "rep", "vector"])
+
+    schema = pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("tree", pa.int32()), ("strings", pa.binary()), ("reps", pa.binary()), ("vectors", pa.binary())])
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made, of, size = TaskContext.get().partitionId(), 0, None, 0
+        held: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            columns = [b"".join(x[i] for x in held) for i in range(3)]
+            held.clear()
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, [(task << 32) + made, *of, *columns]))], schema)
+
+        for part in parts:
+            dim, tree, string, rep = (part.column(c).to_numpy() for c in ("dim", "tree", "string", "rep"))
+            raw = part.column("vector").to_pylist()
+            changes = np.flatnonzero((dim[1:] != dim[:-1]) | (tree[1:] != tree[:-1])) + 1
+            for a, b in zip([0, *changes], [*changes, len(raw)]):
+                while a < b:
+                    now = (int(dim[a]), int(tree[a]))
+                    if held and (now != of or size >= CELL):
+                        yield flush()
+                        made, size = made + 1, 0
+                    of, e = now, min(b, a + CELL - size)
+                    held.append((string[a:e].tobytes(), rep[a:e].tobytes(), b"".join(raw[a:e])))
+                    a, size = e, size + e - a
+        if held:
+            yield flush()
+
+    spark = vectors.sparkSession
+    partitions, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"prefix_forest_{uuid.uuid4().hex}"
+    dealt = vectors.select("rep", "vector").mapInArrow(deal, "dim int, tree int, string long, rep long, vector binary")
+    order = ["dim", "tree", "string", "rep"]
+    blocks = dealt.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    blocks = blocks.mapInArrow(cut, "block long, dim int, tree int, strings binary, reps binary, vectors binary")
+    blocks.write.bucketBy(partitions, "block").option("path", shared_dir(spark, "forest")).saveAsTable(name)
+    index = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files are read by the levels
+    return index
+
+
+def in_ranges(index: DataFrame, queries: DataFrame, mean: dict[int, np.ndarray], least: dict[int, float], k: int, trees: int, bits: int) -> DataFrame:
+    """FOUND: for each query (rep, vector, level) the k + 1 nearest of each block in the range of its prefix of ``level``
+    bits (itself included), in all trees."""
+    levels = sorted(r["level"] for r in queries.select("level").distinct().collect())
+    kind = number_type(queries)
+    cell = pa.schema([("dim", pa.int32()), ("tree", pa.int32()), ("level", pa.int32()), ("prefix", pa.int64())])
+
+    def ask(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for n, rows in by_length(part):
+                if n not in mean:
+                    continue
+                x, level = matrix(rows.column("vector")), rows.column("level").to_numpy()
+                of = strings(x, mean[n], trees, bits) >> (bits - level.astype(np.int64))[:, None]
+                raw = pa.array([v.tobytes() for v in x.astype(kind)])
+                for t in range(trees):
+                    columns = [pa.array(np.full(len(x), n, np.int32)), pa.array(np.full(len(x), t, np.int32)), pa.array(level), pa.array(of[:, t])]
+                    yield pa.RecordBatch.from_arrays([*columns, rows.column("rep"), raw], [*cell.names, "q", "vector"])
+
+    def places(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for r in part.to_pylist():
+                string = np.frombuffer(r["strings"], np.int64)
+                for level in levels:
+                    prefix = np.unique(string >> (bits - level))
+                    columns = [np.full(len(prefix), r["dim"], np.int32), np.full(len(prefix), r["tree"], np.int32), np.full(len(prefix), level, np.int32), prefix, np.full(len(prefix), r["block"])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*cell.names, "block"])
+
+    key = "dim int, tree int, level int, prefix long"
+    where = index.select("block", "dim", "tree", "strings").mapInArrow(places, f"{key}, block long")
+    asked = queries.select("rep", "vector", "level").mapInArrow(ask, f"{key}, q long, vector binary")
+    asked = asked.join(where, cell.names).select("block", "level", "prefix", "q", "vector")
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for r in left.to_pylist():
+            string, ids = (np.frombuffer(r[c], np.int64) for c in ("strings", "reps"))
+            x = np.frombuffer(r["vectors"], kind).reshape(len(ids), -1).astype(np.float64)
+            for q, level, prefix, v in zip(*(right.column(c).to_pylist() for c in ("q", "level", "prefix", "vector"))):
+                a, b = np.searchsorted(string, [prefix << (bits - level), (prefix + 1) << (bits - level)])
+                out.append(nearest(q, np.frombuffer(v, kind).astype(np.float64), x[a:b], ids[a:b], mean[r["dim"]], least[r["dim"]], k))
+        return pa.Table.from_batches(out, FOUND_ARROW)
+
+    return index.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(look, FOUND)
+
+
+def at_root(vectors: DataFrame, queries: DataFrame, mean: dict[int, np.ndarray], least: dict[int, float], k: int) -> DataFrame:
+    """FOUND: for each query the k + 1 nearest of each block of all vectors of its length."""
+    n, m = (max(1, -(-df.count() // CELL)) for df in (vectors, queries))
+    own = lambda blocks: F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    size = F.size("vector").alias("dim")
+    theirs = vectors.select(size, own(n).alias("a"), every(m).alias("b"), F.lit(False).alias("asks"), "rep", "vector")
+    asked = queries.select(size, every(n).alias("a"), own(m).alias("b"), F.lit(True).alias("asks"), "rep", "vector")
+
+    def look(key: tuple, rows: list[dict]) -> Iterator[pa.RecordBatch]:
         here = [r for r in rows if not r["asks"]]
         if not here or len(here) == len(rows):
             return
         ids = np.array([r["rep"] for r in here])
-        x = np.frombuffer(b"".join([r["vector"] for r in here]), np.float64).reshape(len(here), -1)
-        out = []
-        for r in rows:
-            if r["asks"]:
-                d = distances(x, np.frombuffer(r["vector"], np.float64))
-                near = np.lexsort((ids, d))[: k + 1]
-                out += [{"q": r["rep"], "rep": i, "score": s} for i, s in zip(ids[near].tolist(), d[near].tolist())]
-        yield pa.RecordBatch.from_pylist(out, pa.schema([("q", pa.int64()), ("rep", pa.int64()), ("score", pa.float64())]))
-
-    key = [*cell, "block"]
-    both = theirs.unionByName(asked).repartition(*key).sortWithinPartitions(*key)
-    return both.mapInArrow(lambda parts: grouped(parts, key, search), "q long, rep long, score double")
+        x = np.array([r["vector"] for r in here], np.float64)
+        found = [nearest(r["rep"], np.array(r["vector"], np.float64), x, ids, mean[key[0]], least[key[0]], k) for r in rows if r["asks"]]
+        yield from pa.Table.from_batches(found).combine_chunks().to_batches()
+
+    both = theirs.unionByName(asked).repartition("dim", "a", "b").sortWithinPartitions("dim", "a", "b")
+    return both.mapInArrow(lambda parts: grouped(parts, ["dim", "a", "b"], look), FOUND)
+
+
+def ascended(found: DataFrame, queries: DataFrame, k: int, trees: int, bits: int) -> DataFrame:
+    """The queries (rep, vector, level) that have to ascend after ``found``, with their next level (0: the root)."""
+    w = Window.partitionBy("q").orderBy("score", "rep")
+    best = found.where("q <> rep").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
+    miss = [F.avg(F.pow(1 - F.pow(1 - F.col("angle") / float(np.pi), F.lit(j)), F.lit(trees))) <= MISS for j in range(1, bits + 1)]
+    state = best.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.array(*miss).alias("fine"))
+    both = queries.join(state.withColumnRenamed("q", "rep"), "rep", "left")
+    full = F.coalesce(F.col("n") >= k, F.lit(False))
+    both = both.where(~(full & F.coalesce(F.get("fine", F.col("level") - 1), F.lit(False))))
+    lower = F.floor(F.col("level") * 2 / 3).cast("int")
+    fitting = F.array_max(F.transform("fine", lambda f, j: F.when(f & (j + 1 < F.col("level")), j + 1).otherwise(0)))
+    after = F.when(full, F.greatest(lower, fitting)).otherwise(lower)
+    fewest = int(np.ceil(np.log2(max(2, trees))))
+    return both.select("rep", "vector", F.when(after < fewest, 0).otherwise(after).cast("int").alias("level"))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = TREES, bits: int = BITS) -> DataFrame:
@@ -196,8 +300,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = TRE
     names = written(asking.join(unique, ["key", "vector"]).select("vec_id", "rep"), "asked")
     unique = written(unique.select("rep", "vector"), "unique")
     mean = means(everything)
-    level = fitted_level(everything, unique, mean, k, trees, bits)
-    found = met(everything, unique, mean, k, trees, bits, level)
+    least = least_norms(everything, mean)
+    forest = sorted_trees(everything, mean, trees, bits)
+    # Rows that a level has found, of the queries that stop there.
+    stopped, rising = [], written(unique.withColumn("level", F.lit(bits)), "level")
+    while rising.where("level > 0").head(1):
+        now = rising.where("level > 0")
+        found = written(in_ranges(forest, now, mean, least, k, trees, bits).distinct(), "found")
+        more = written(ascended(found, now, k, trees, bits).unionByName(rising.where("level = 0")), "level")
+        stopped.append(found.join(more.select(F.col("rep").alias("q")), "q", "left_anti"))
+        rising = more
+    if rising.head(1):
+        stopped.append(at_root(everything, rising, mean, least, k))
     w = Window.partitionBy("q").orderBy("score", "vec_id")
     ids = everything.select("rep", "ids")
 
@@ -205,13 +319,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = TRE
         each = found.distinct().join(ids, "rep").select("q", "score", F.explode("ids").alias("vec_id"))
         return each.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k + 1)
 
-    near = written(rows(found), "near")
-    if level:  # queries with too few candidates ascend to the root
-        enough = near.groupBy("q").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k).select(F.col("q").alias("rep"))
-        few = written(unique.join(enough, "rep", "left_anti"), "few")
-        if few.head(1):
-            more = rows(met(everything, few, mean, k, trees, bits, 0))
-            near = near.join(few.select(F.col("rep").alias("q")), "q", "left_anti").unionByName(more)
+    everyone = reduce(DataFrame.unionByName, stopped) if stopped else spark.createDataFrame([], FOUND)
+    near = written(rows(everyone.select("q", "rep", "score")), "near")
     each = names.select(F.col("vec_id").alias("query_id"), F.col("rep").alias("q")).join(near, "q").where("query_id <> vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return each.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

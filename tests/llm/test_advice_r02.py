@@ -6,7 +6,9 @@ import math
 import zlib
 from collections import Counter
 
-from telcolens.llm import signature_tree, spaced_seeds, suffix_tree_lm
+import numpy as np
+
+from telcolens.llm import prefix_forest, signature_tree, spaced_seeds, suffix_tree_lm
 from telcolens.llm.common import small_batches
 
 
@@ -52,3 +54,26 @@ def test_short_and_unspaced_items_are_found(spark):
             want.add((doc, item))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {(r["doc_id"], r["item_id"]) for r in spaced_seeds.contaminated(docs, bench).collect()} == want
+
+
+def test_forest_serves_queries_outside_clusters(spark):
+    small_batches(spark)
+    rng = np.random.default_rng(5)
+    half = rng.normal(size=(20, 16)) * 4
+    clusters = np.repeat(np.concatenate([half, -half]), 60, axis=0) + rng.normal(size=(2400, 16)) * 0.02
+    cloud = rng.normal(size=(1500, 16)) * ([3] * 3 + [0.01] * 13)
+    x = np.concatenate([clusters, cloud]).astype(np.float32)
+    # One query in 76 lies in the middle of the cloud, its neighbours at wide angles around the mean.
+    middle = (2400 + np.argsort((cloud**2).sum(axis=1))[:4]).tolist()
+    asked = [*range(0, 2400, 8), *middle]
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got: dict[int, set[int]] = {}
+    for r in prefix_forest.search(df, df.where(df.vec_id.isin(asked)), k=10).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = []
+    for q in asked:
+        d = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1))
+        d[q] = np.inf
+        recall.append(len(set(np.argsort(d, kind="stable")[:10].tolist()) & got.get(q, set())) / 10)
+    print("recall: clusters mean", np.mean(recall[:300]), "least", min(recall[:300]), "middle", recall[300:])
+    assert min(recall) >= 0.8 and np.mean(recall[:300]) >= 0.97 and np.mean(recall[300:]) >= 0.97
