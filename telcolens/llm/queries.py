@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from telcolens.llm import bitplanes, cotraining, host_reputation, mil_toxicity, pivotal_mix, prefix_forest, signature_tree, spaced_seeds, suffix_tree_lm, warc_index
+from telcolens.llm import bitplanes, collocations, cotraining, harmonic_packing, host_reputation, mil_toxicity, pivotal_mix, prefix_forest, signature_tree, spaced_seeds, spelling_fm, suffix_tree_lm, warc_index
 
 QUERIES = {
     "op1_suffix_tree_lm": suffix_tree_lm.query,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_host_reputation": host_reputation.query,
     "op9_pivotal_mix": pivotal_mix.query,
     "op10_bitplanes": bitplanes.query,
+    "op11_harmonic_packing": harmonic_packing.query,
+    "op12_spelling_fm": spelling_fm.query,
+    "op13_collocations": collocations.query,
 }
 
 
