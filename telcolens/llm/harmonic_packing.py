@@ -11,8 +11,9 @@ At the end a worker has less than one bin of each class open. Those pieces are d
 in the same way, and so on, until one worker is left with at most a fixed number of pieces; its own last pieces, less than one
 bin a class in the whole job, follow each other and are cut where a sequence is full, so that one sequence of the job is padded.
 
-Tokens: a text is cut at white space, which the word-level pre-tokenizer never crosses and its normalizer joins; the library encodes
-each new unit, and a worker remembers units. Tokenizers of another kind encode texts whole.
+Tokens: a text of common letters and signs, on which all Unicode versions agree, is lower-cased and cut into pieces by the tokenizer file's own pattern; the
+library's model gives the ids of a piece, and a worker remembers pieces. Other texts are cut at white space, which the word-level pre-tokenizer never
+crosses and its normalizer joins; units with other characters go to the library whole, as do all texts for tokenizers of another kind.
 
 Nulls: a null text is empty and gives the end id alone; null ids and repeated rows are packed as any other. An empty table gives no
 pieces. Very long texts are many full sequences. Ties do not arise. Other columns are not read, whatever their names.
@@ -26,12 +27,14 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,10 +46,12 @@ SLACK = 32
 END_ID = 1
 # A round of leftover pieces has so many times less workers than the one before (at least 2, so that rounds end).
 FAN = 8
-# Units that a worker remembers at most, and the longest of them in characters.
-KNOWN, LONGEST = 500_000, 64
-# White space on which str.split and the tokenizer's pattern may disagree: such texts are cut at plain spaces and line ends only.
+# Pieces that a worker remembers: up to twice as many, the older half of which goes first; and the longest of them in characters.
+KNOWN, LONGEST = 250_000, 64
+# White space on which str.split and the tokenizer's pattern may disagree: texts with such are cut at plain spaces and line ends only.
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# What the library alone may normalize: any but plain white space, printable ASCII, Latin without the dotted I, Cyrillic, dashes and quotes; or a special token.
+RARE = re.compile("[^ \t\n\r!-~\u00a1-\u012f\u0131-\u024f\u0400-\u04ff\u2010-\u2027]|<\\|")
 PLAIN_SPACE = re.compile("[ \t\n\r]+")
 
 
@@ -67,6 +72,7 @@ class UnitEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
         steps = (spec["normalizer"] or {}).get("normalizers", [])
         splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -74,6 +80,11 @@ class UnitEncoder:
         drops_space = bool(splits) and splits[0]["type"] == "Split" and splits[0]["invert"] and splits[0]["behavior"] == "Removed"
         spaced = any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
         self.cuts = joins_space and drops_space and not spaced and spec["model"]["type"] == "BPE"
+        self.pieces = regex.compile(splits[0]["pattern"]["Regex"]) if self.cuts else None
+        # How byte-level BPE writes bytes as characters: printable Latin-1 as is, the others from U+0100 on.
+        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        names = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(kept)))}
+        self.byte_names = "".join(names[b] for b in range(256))
 
     @classmethod
     def of(cls, path: str) -> UnitEncoder:
@@ -84,21 +95,41 @@ class UnitEncoder:
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def learn(self, piece: str) -> None:
+        ids = self.older.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.byte_names)
+            ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+            ids = struct.pack(f"<{len(ids)}I", *ids)
+        self.known[piece] = ids
+
+    def plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without RARE characters."""
+        pieces = [self.pieces.findall(t.lower()) for t in texts]
+        if len(self.known) > KNOWN:
+            self.known, self.older = {}, self.known
+        fresh = set().union(*pieces).difference(self.known)
+        for p in fresh:
+            self.learn(p)
+        out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+        for p in fresh:
+            if len(p) > LONGEST:
+                del self.known[p]
+        return out
+
+    def unplain(self, text: str) -> bytes:
+        units = PLAIN_SPACE.split(text) if ODD_SPACE.search(text) else text.split()
+        rare = [bool(RARE.search(u)) for u in units]
+        whole = iter(self.library([u for u, r in zip(units, rare) if r]))
+        plain = iter(self.plain([u for u, r in zip(units, rare) if not r]))
+        return b"".join([next(whole if r else plain) for r in rare])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self.library(texts)
-        units = [t.split() if not ODD_SPACE.search(t) else [u for u in PLAIN_SPACE.split(t) if u] for t in texts]
-        fresh = set().union(*units).difference(self.known)
-        if len(self.known) + len(fresh) > KNOWN:
-            self.known.clear()
-            fresh = set().union(*units)
-        fresh = list(fresh)
-        self.known.update(zip(fresh, self.library(fresh)))
-        out = [b"".join(map(self.known.__getitem__, u)) for u in units]
-        for u in fresh:
-            if len(u) > LONGEST:
-                del self.known[u]
-        return out
+        rare = [bool(RARE.search(t)) for t in texts]
+        plain = iter(self.plain([t for t, r in zip(texts, rare) if not r]))
+        return [self.unplain(t) if r else next(plain) for t, r in zip(texts, rare)]
 
 
 def cuts(n: int, capacity: int, slack: int) -> Iterator[tuple[int, int]]:
