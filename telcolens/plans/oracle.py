@@ -392,6 +392,31 @@ LEFT JOIN subscribers s ON s.subscribers_id = p.subscribers_id
 LEFT JOIN payment_method_type k ON k.payment_type_id = p.payment_type_id
 """
 
+SQL["s03_address_enrichment"] = _with() + """
+SELECT a.subscribers_id, a.address_name, a.type_id, k.type_name, s.name, s.surname
+FROM address a LEFT JOIN address_type k ON k.type_id = a.type_id LEFT JOIN subscribers s ON s.subscribers_id = a.subscribers_id
+"""
+
+SQL["s03_device_enrichment"] = _with() + """
+, lists AS (
+  SELECT a.subscribers_id, CAST(count(*) AS INTEGER) AS n,
+         string_agg(coalesce(k.type_name, '') || ': ' || coalesce(a.address_name, ''), '; ' ORDER BY k.type_name NULLS FIRST, a.address_name NULLS FIRST) AS addresses
+  FROM address a LEFT JOIN address_type k ON k.type_id = a.type_id GROUP BY a.subscribers_id)
+SELECT d.device_id, d.subscribers_id, d.device_type, d.operating_system, d.network_type, d.connection_history,
+       s.name, s.surname, 0 AS address_part, coalesce(l.n, 0) AS n_addresses, l.addresses
+FROM technical_data d LEFT JOIN subscribers s ON s.subscribers_id = d.subscribers_id LEFT JOIN lists l ON l.subscribers_id = d.subscribers_id
+"""
+
+SQL["s03_complaint_enrichment"] = _with() + """
+, lists AS (
+  SELECT subscribers_id, string_agg(device_type || ': ' || operating_system, '; ' ORDER BY device_type, operating_system) AS devices
+  FROM technical_data GROUP BY subscribers_id)
+SELECT c.complaint_id, c.subscribers_id, c.complaint_type_id, c.status, c.submission_date, k.complaint_type_name,
+       s.name, s.surname, 0 AS device_part, l.devices
+FROM complaints_and_support_requests c LEFT JOIN complaint_type k ON k.complaint_type_id = c.complaint_type_id
+LEFT JOIN subscribers s ON s.subscribers_id = c.subscribers_id LEFT JOIN lists l ON l.subscribers_id = c.subscribers_id
+"""
+
 SQL["enrich_receiver_phone"] = _with() + f"""
 SELECT {_CALL_COLS}
 FROM calls c LEFT JOIN subscribers r ON r.subscribers_id = c.receiver_subscriber_id

@@ -1,5 +1,5 @@
 """The two README themes and the star join: subscriber profile for segmentation (S1), service
-performance (S2), and the call star enrichment (S3)."""
+performance (S2), and the star enrichments (S3)."""
 
 from __future__ import annotations
 
@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from telcolens.functions.people import age_band, age_years, money_total, zero
 from telcolens.functions.timewin import AsOf, up_to
-from telcolens.operators.joins import attach_names, for_each_subscriber
+from telcolens.operators.joins import for_each_subscriber
 from telcolens.operators.lookup import enrich_receiver_phone
+from telcolens.operators.star import nested, star, text_of
 from telcolens.plans.questions import (
     NAMES,
     Tables,
@@ -102,6 +103,19 @@ def s02_service_performance(t: Tables, as_of: AsOf) -> DataFrame:
     )
 
 
+# What the enrichments take of each parent.
+TAKEN = {
+    "subscribers": ("name", "surname"),
+    "services": ("service_name",),
+    "tariff_informations": ("tariff_name",),
+    "call_type": ("name",),
+    "sms_types": ("name",),
+    "payment_method_type": ("name",),
+    "address_type": ("type_name",),
+    "complaint_type": ("complaint_type_name",),
+}
+
+
 def s03_call_enrichment(t: Tables, as_of: AsOf | None = None, until: AsOf | None = None) -> DataFrame:
     """S3: every call with caller names, receiver phone (C4), service, tariff and call-kind names.
 
@@ -109,43 +123,72 @@ def s03_call_enrichment(t: Tables, as_of: AsOf | None = None, until: AsOf | None
     keeps the calls up to a time. The call table stays the streamed side of every join."""
     calls = t["calls"] if until is None else t["calls"].where(up_to("call_date", until))
     calls = enrich_receiver_phone(calls, t["subscribers"])
-    callers = t["subscribers"].select(
-        F.col("subscribers_id").alias("caller_id"),
-        F.col("name").alias("caller_name"),
-        F.col("surname").alias("caller_surname"),
-    )
-    services = t["services"].select("service_id", "service_name", "tariff_id")
-    tariffs = t["tariff_informations"].select("tariff_id", "tariff_name")
-    kinds = t["call_type"].select("call_type_id", F.col("name").alias("kind"))
-    cols = calls.columns
-    return (
-        calls.join(callers, "caller_id", "left")
-        .join(services, "service_id", "left")
-        .join(tariffs, "tariff_id", "left")
-        .join(kinds, "call_type_id", "left")
-        .select(
-            *cols, "caller_name", "caller_surname", "service_name", "tariff_id", "tariff_name", "kind"
-        )
+    return star(t, "calls", columns=TAKEN, rows=calls).selectExpr(
+        *calls.columns, "caller_name", "caller_surname", "service_name", "service_tariff_id AS tariff_id", "tariff_name",
+        "call_type_name AS kind",
     )
 
 
 def s03_sms_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
     """S3: every SMS with sender names, SMS kind, service and tariff names."""
-    kinds = t["sms_types"].select("sms_type_id", F.col("name").alias("sms_type"))
-    services = t["services"].select("service_id", "service_name", "tariff_id")
-    tariffs = t["tariff_informations"].select("tariff_id", "tariff_name")
     sms = t["sms_informations"].select("sms_id", "sender_id", "sms_date", "sms_content", "sms_type_id", "service_id")
-    out = sms.join(kinds, "sms_type_id", "left").join(services, "service_id", "left").join(tariffs, "tariff_id", "left")
-    out = attach_names(out, t["subscribers"], "sender_id")
-    return out.select(*sms.columns, "name", "surname", "sms_type", "service_name", "tariff_id", "tariff_name")
+    return star(t, "sms_informations", columns=TAKEN, rows=sms).selectExpr(
+        *sms.columns, "sender_name AS name", "sender_surname AS surname", "sms_type_name AS sms_type", "service_name",
+        "service_tariff_id AS tariff_id", "tariff_name",
+    )
 
 
 def s03_payment_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
     """S3: every payment with the payer's names and the payment method."""
-    methods = t["payment_method_type"].select("payment_type_id", F.col("name").alias("payment_method"))
     pay = t["payments"].select("payment_id", "subscribers_id", "amount", "payment_type_id", "payment_date")
-    out = attach_names(pay.join(methods, "payment_type_id", "left"), t["subscribers"])
-    return out.select(*pay.columns, "name", "surname", "payment_method")
+    return star(t, "payments", columns=TAKEN, rows=pay).selectExpr(
+        *pay.columns, "subscribers_name AS name", "subscribers_surname AS surname", "payment_type_name AS payment_method"
+    )
+
+
+def s03_address_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
+    """S3: every address with its kind and the subscriber's names."""
+    own = t["address"].select("subscribers_id", "address_name", "type_id")
+    return star(t, "address", columns=TAKEN, rows=own).selectExpr(
+        *own.columns, "type_name", "subscribers_name AS name", "subscribers_surname AS surname"
+    )
+
+
+def _addresses(t: Tables) -> DataFrame:
+    """The addresses of each subscriber, with their kinds, as an array (in parts for very many)."""
+    return nested(
+        star(t, "address", follow=("address_type",), columns=TAKEN), "subscribers_id", ("type_name", "address_name"), "addresses"
+    )
+
+
+def s03_device_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
+    """S3: every device with its owner's names and addresses (one text; a subscriber with more than about 1,000 addresses has a row
+    for each part of them, ``address_part``)."""
+    own = t["technical_data"].select("device_id", "subscribers_id", "device_type", "operating_system", "network_type", "connection_history")
+    out = star(t, "technical_data", columns=TAKEN, rows=own).join(_addresses(t), "subscribers_id", "left")
+    return out.select(
+        *own.columns,
+        F.col("subscribers_name").alias("name"),
+        F.col("subscribers_surname").alias("surname"),
+        F.coalesce("part_no", F.lit(0)).alias("address_part"),
+        F.size(F.coalesce("addresses", F.array().cast(out.schema["addresses"].dataType))).alias("n_addresses"),
+        text_of("addresses", ("type_name", "address_name")).alias("addresses"),
+    )
+
+
+def s03_complaint_enrichment(t: Tables, as_of: AsOf | None = None) -> DataFrame:
+    """S3: every complaint with its kind, the subscriber's names, and the devices that the subscriber owns (one text; in parts as above)."""
+    own = t["complaints_and_support_requests"].select("complaint_id", "subscribers_id", "complaint_type_id", "status", "submission_date")
+    devices = nested(t["technical_data"], "subscribers_id", ("device_type", "operating_system"), "devices")
+    out = star(t, "complaints_and_support_requests", columns=TAKEN, rows=own).join(devices, "subscribers_id", "left")
+    return out.select(
+        *own.columns,
+        "complaint_type_name",
+        F.col("subscribers_name").alias("name"),
+        F.col("subscribers_surname").alias("surname"),
+        F.coalesce("part_no", F.lit(0)).alias("device_part"),
+        text_of("devices", ("device_type", "operating_system")).alias("devices"),
+    )
 
 
 PROFILES = {
@@ -155,4 +198,7 @@ PROFILES = {
     "s03_call_enrichment": s03_call_enrichment,
     "s03_sms_enrichment": s03_sms_enrichment,
     "s03_payment_enrichment": s03_payment_enrichment,
+    "s03_address_enrichment": s03_address_enrichment,
+    "s03_device_enrichment": s03_device_enrichment,
+    "s03_complaint_enrichment": s03_complaint_enrichment,
 }

@@ -91,6 +91,8 @@ def queries() -> dict[str, Query]:
     out["s03_call_enrichment"] = _tables_query(_s03)
     out["s03_sms_enrichment"] = _report(PROFILES["s03_sms_enrichment"], AS_OF)
     out["s03_payment_enrichment"] = _report(PROFILES["s03_payment_enrichment"], AS_OF)
+    for name in ("s03_address_enrichment", "s03_device_enrichment", "s03_complaint_enrichment"):
+        out[name] = _report(PROFILES[name], AS_OF)
     out["usage_union"] = _tables_query(_usage_union)
     out["subscriber_tariff"] = _tables_query(_subscriber_tariff)
     out["enrich_receiver_phone"] = _tables_query(_enrich)

@@ -11,6 +11,10 @@ the driver's types (e.g. a tariff id is the part type text), which the reports d
 | calls, call kinds    | lineitem join orders          |
 | SMS, SMS kinds       | events, type <> 'error'       |
 | complaints           | events, type = 'error'        |
+| complaint kinds      | events, type = 'error' (id mod COMPLAINT_KINDS) |
+| addresses            | customer, 1 to 3 each, and nation |
+| address kinds        | region                        |
+| devices              | customer, 1 or 2 each         |
 """
 
 from __future__ import annotations
@@ -33,6 +37,9 @@ RECEIVER_STEP = 31
 RECEIVER_OFFSET = 7
 RECEIVER_SPAN = 2000
 SERVICE_ACTIVE_MAX_SIZE = 25
+COMPLAINT_KINDS = 6  # a complaint's kind = event_id mod this; kind 0 is not in the list of kinds
+ADDRESSES = 3  # a subscriber has 1 to this many addresses
+ADDRESS_KINDS = 6  # one more than there are regions, so some addresses are of no known kind
 SERVICE_DEACTIVATED_AT = "1998-01-01 00:00:00"
 
 # Primary keys as they exist in the adapted tables (calls have a two-column key).
@@ -79,6 +86,8 @@ RAW_SCHEMAS: dict[str, str] = {
     "part": (
         "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
     ),
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
     "events": (
         "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     ),
@@ -228,13 +237,52 @@ def _complaints(d: DriverTables) -> DataFrame:
     return d.raw("events").where("event_type = 'error'").selectExpr(
         "event_id AS complaint_id",
         "user_id AS subscribers_id",
-        "CAST(NULL AS BIGINT) AS complaint_type_id",
+        f"event_id % {COMPLAINT_KINDS} AS complaint_type_id",
         "'UNSOLVED' AS status",
         f"{SHIFTED_TS} AS submission_date",
     )
 
 
+def _complaint_type(d: DriverTables) -> DataFrame:
+    kinds = d.raw("events").where("event_type = 'error'").selectExpr(f"event_id % {COMPLAINT_KINDS} AS complaint_type_id")
+    return kinds.where("complaint_type_id > 0").distinct().selectExpr(
+        "complaint_type_id", "concat('Kind ', complaint_type_id) AS complaint_type_name"
+    )
+
+
+def _address_type(d: DriverTables) -> DataFrame:
+    return d.raw("region").selectExpr("CAST(r_regionkey AS BIGINT) AS type_id", "r_name AS type_name")
+
+
+def _address(d: DriverTables) -> DataFrame:
+    own = d.raw("customer").selectExpr(
+        "c_custkey", "c_nationkey AS n_nationkey", f"explode(sequence(0L, c_custkey % {ADDRESSES})) AS k"
+    )
+    return own.join(d.raw("nation"), "n_nationkey", "left").selectExpr(
+        "c_custkey AS subscribers_id",
+        "concat('House ', c_custkey * 10 + k, ', ', n_name) AS address_name",
+        f"(c_custkey + k) % {ADDRESS_KINDS} AS type_id",
+    )
+
+
+def _technical_data(d: DriverTables) -> DataFrame:
+    own = d.raw("customer").selectExpr("*", "explode(sequence(0L, c_custkey % 2)) AS k")
+    return own.selectExpr(
+        "c_custkey * 2 + k AS device_id",
+        "c_custkey AS subscribers_id",
+        "CASE WHEN k = 0 THEN 'PHONE' ELSE 'MODEM' END AS device_type",
+        "lpad(CAST(c_custkey * 2 + k AS STRING), 15, '0') AS imei_number",
+        "concat('OS-', c_mktsegment) AS operating_system",
+        "CASE WHEN c_acctbal < 0 THEN '3G' ELSE '4G' END AS network_type",
+        "TIMESTAMP_NTZ '1998-01-01 00:00:00' + make_dt_interval(CAST(c_custkey % 365 AS INT)) AS connection_history",
+    )
+
+
 _BUILDERS = {
+    "address_type": _address_type,
+    "address": _address,
+    "technical_data": _technical_data,
+    "complaint_type": _complaint_type,
     "subscribers": _subscribers,
     "payments": _payments,
     "payment_method_type": _payment_method_type,
@@ -290,9 +338,23 @@ sms_informations AS (
 sms_types AS (
   SELECT DISTINCT event_type AS sms_type_id, event_type AS name FROM events WHERE event_type <> 'error'),
 complaints_and_support_requests AS (
-  SELECT event_id AS complaint_id, user_id AS subscribers_id, CAST(NULL AS BIGINT) AS complaint_type_id,
+  SELECT event_id AS complaint_id, user_id AS subscribers_id, event_id % {COMPLAINT_KINDS} AS complaint_type_id,
          'UNSOLVED' AS status, ts - INTERVAL {SMS_SHIFT_MONTHS} MONTH AS submission_date
-  FROM events WHERE event_type = 'error')
+  FROM events WHERE event_type = 'error'),
+complaint_type AS (
+  SELECT DISTINCT event_id % {COMPLAINT_KINDS} AS complaint_type_id, 'Kind ' || (event_id % {COMPLAINT_KINDS}) AS complaint_type_name
+  FROM events WHERE event_type = 'error' AND event_id % {COMPLAINT_KINDS} > 0),
+address_type AS (SELECT CAST(r_regionkey AS BIGINT) AS type_id, r_name AS type_name FROM region),
+address AS (
+  SELECT c.c_custkey AS subscribers_id, 'House ' || (c.c_custkey * 10 + c.k) || ', ' || n.n_name AS address_name,
+         (c.c_custkey + c.k) % {ADDRESS_KINDS} AS type_id
+  FROM (SELECT *, unnest(range(c_custkey % {ADDRESSES} + 1)) AS k FROM customer) c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey),
+technical_data AS (
+  SELECT c_custkey * 2 + k AS device_id, c_custkey AS subscribers_id, CASE WHEN k = 0 THEN 'PHONE' ELSE 'MODEM' END AS device_type,
+         lpad(CAST(c_custkey * 2 + k AS VARCHAR), 15, '0') AS imei_number, 'OS-' || c_mktsegment AS operating_system,
+         CASE WHEN c_acctbal < 0 THEN '3G' ELSE '4G' END AS network_type,
+         TIMESTAMP '1998-01-01 00:00:00' + to_days(CAST(c_custkey % 365 AS INTEGER)) AS connection_history
+  FROM (SELECT *, unnest(range(c_custkey % 2 + 1)) AS k FROM customer))
 """
 
 
@@ -315,6 +377,12 @@ ADAPTED_COLUMNS: dict[str, tuple[str, ...]] = {
     "complaints_and_support_requests": (
         "complaint_id", "subscribers_id", "complaint_type_id", "status", "submission_date",
     ),
+    "complaint_type": ("complaint_type_id", "complaint_type_name"),
+    "address_type": ("type_id", "type_name"),
+    "address": ("subscribers_id", "address_name", "type_id"),
+    "technical_data": (
+        "device_id", "subscribers_id", "device_type", "imei_number", "operating_system", "network_type", "connection_history",
+    ),
 }
 
 
