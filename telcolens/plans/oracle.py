@@ -221,6 +221,18 @@ SELECT s.subscribers_id, s.name, s.surname, p.part_start, {_z('p.sms_count', 'sm
 FROM subscribers s LEFT JOIN parts p ON p.subscribers_id = s.subscribers_id
 """
 
+SQL["t10_sms_contents_by_rows_12m"] = _with(
+    f"""numbered AS (
+  SELECT sender_id AS subscribers_id, sms_content,
+         row_number() OVER (PARTITION BY sender_id ORDER BY sms_date ASC NULLS FIRST, sms_id ASC NULLS FIRST) - 1 AS number
+  FROM sms_informations WHERE {_last('sms_date', 12, A12)}), parts AS (
+  SELECT subscribers_id, number // 3 AS part_no, COUNT(*) AS sms_count, STRING_AGG(sms_content, '; ' ORDER BY number) AS sms_contents
+  FROM numbered GROUP BY subscribers_id, number // 3)"""
+) + f"""
+SELECT s.subscribers_id, s.name, s.surname, p.part_no, {_z('p.sms_count', 'sms_count')}, p.sms_contents
+FROM subscribers s LEFT JOIN parts p ON p.subscribers_id = s.subscribers_id
+"""
+
 SQL["t11_calls_payments"] = _with(CALL_TOTALS, PAY_TOTALS) + f"""
 SELECT s.subscribers_id, s.name, s.surname, {_z('c.calls', 'calls')}, {_z('c.seconds', 'seconds')},
        {_z('p.payments', 'payments')}, {_z('p.amount', 'amount', M)}, p.last_payment_date

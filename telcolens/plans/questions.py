@@ -29,7 +29,7 @@ from telcolens.functions.people import (
 from telcolens.functions.timewin import AsOf, as_of_text, restrict
 from telcolens.operators.joins import attach_names, for_each_subscriber
 from telcolens.operators.ranking import compare_to_group_mean, latest_per_key, top_k
-from telcolens.operators.rollup import ordered_concat, ordered_concat_parts
+from telcolens.operators.rollup import ordered_concat, ordered_concat_parts, ordered_concat_rows
 from telcolens.operators.usage import (
     subscriber_tariff,
     usage_by_subscriber_service,
@@ -259,6 +259,24 @@ def t10_sms_contents_by_hour_12m(t: Tables, as_of: AsOf, months: int = 12) -> Da
     return out.select(*NAMES, "part_start", zero("sms_count"), "sms_contents")
 
 
+def t10_sms_contents_by_rows_12m(t: Tables, as_of: AsOf, months: int = 12, rows: int = 1000) -> DataFrame:
+    """T10 in parts of ``rows`` SMS: the same contents in the same order, whatever the hours; subscribers without SMS appear once
+    with null part, 0 and null. The parts are the streamed side of the join with the names, so a heavy sender's are split."""
+    sms = (
+        restrict(t["sms_informations"], "sms_date", as_of, months)
+        .select(F.col("sender_id").alias("subscribers_id"), "sms_content", "sms_date", "sms_id")
+    )
+    parts = ordered_concat_rows(
+        sms, "subscribers_id", "sms_content", "sms_date", "sms_id", "sms_contents", "sms_count", rows
+    )
+    names = t["subscribers"].select(*NAMES)
+    sent = parts.join(names, "subscribers_id").select(*NAMES, "part_no", "sms_count", "sms_contents")
+    silent = names.join(sms.select("subscribers_id").distinct(), "subscribers_id", "left_anti").selectExpr(
+        *NAMES, "CAST(NULL AS BIGINT) AS part_no", "0L AS sms_count", "CAST(NULL AS STRING) AS sms_contents"
+    )
+    return sent.unionByName(silent)
+
+
 def t11_calls_payments(t: Tables, as_of: AsOf) -> DataFrame:
     """Each subscriber's calls and seconds, and payments: count, amount, last payment time."""
     out = for_each_subscriber(t["subscribers"], _calls_totals(t, as_of), _payment_totals(t, as_of))
@@ -395,6 +413,7 @@ QUESTIONS = {
     "t09_top10_complainers": t09_top10_complainers,
     "t10_sms_count_contents_12m": t10_sms_count_contents_12m,
     "t10_sms_contents_by_hour_12m": t10_sms_contents_by_hour_12m,
+    "t10_sms_contents_by_rows_12m": t10_sms_contents_by_rows_12m,
     "t11_calls_payments": t11_calls_payments,
     "t12_tariff_average": t12_tariff_average,
     "t13_sms_detail_12m": t13_sms_detail_12m,

@@ -27,10 +27,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 _AS_OF_FOR = {
     "t10_sms_count_contents_12m": AS_OF_SMS_12M,
     "t10_sms_contents_by_hour_12m": AS_OF_SMS_12M,
+    "t10_sms_contents_by_rows_12m": AS_OF_SMS_12M,
     "t13_sms_detail_12m": AS_OF_SMS_12M,
 }
 
 
+SMS_ROWS = 3
+
+
 def _report(fn, as_of: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(driver_tables(spark, sf_dir), as_of)
@@ -52,6 +56,11 @@ def _t03_active_tariff(t, as_of):
     return QUESTIONS["t03_active_service_totals"](t, as_of, require_active_tariff=True)
 
 
+def _t10_by_rows(t, as_of):
+    """T10 in parts of few rows, so that senders of the given tables have several."""
+    return QUESTIONS["t10_sms_contents_by_rows_12m"](t, as_of, rows=SMS_ROWS)
+
+
 def _usage_union(t):
     return usage_union(t["calls"], t["sms_informations"], AS_OF)
 
@@ -84,6 +93,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name, fn in QUESTIONS.items():
         out[name] = _report(fn, _AS_OF_FOR.get(name, AS_OF))
+    out["t10_sms_contents_by_rows_12m"] = _report(_t10_by_rows, AS_OF_SMS_12M)
     out["t03_active_service_totals_active_tariff"] = _report(_t03_active_tariff, AS_OF)
     out["s01_subscriber_profile"] = _report(PROFILES["s01_subscriber_profile"], AS_OF)
     out["s01_subscriber_segments"] = _report(PROFILES["s01_subscriber_segments"], AS_OF)

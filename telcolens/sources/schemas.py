@@ -301,12 +301,27 @@ def _quote(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def create_table_sql(table: str, location: str, partition_column: str | None = "event_month") -> str:
-    """A1 + A7 as catalog DDL: ``CREATE TABLE ... USING parquet`` with the table and column comments,
-    partitioned by event month for fact tables (the layout ``load.append`` writes)."""
+def _default_sql(c: Col, load_ts: str | None) -> str:
+    """A3 for SQL users: the column's DEFAULT clause."""
+    if c.default is None:
+        return ""
+    if c.default == SYSDATE:
+        now = "localtimestamp()" if load_ts is None else f"TIMESTAMP_NTZ {_quote(load_ts)}"
+        return f" DEFAULT {now}"
+    return f" DEFAULT {_quote(c.default) if isinstance(c.default, str) else c.default}"
+
+
+def create_table_sql(table: str, location: str, partition_column: str | None = "event_month", load_ts: str | None = None) -> str:
+    """A1 + A3 + A7 as catalog DDL: ``CREATE TABLE ... USING parquet`` with the table and column comments and the columns' defaults,
+    partitioned by event month for fact tables (the layout ``load.append`` writes).
+
+    An SQL ``INSERT`` that names a subset of the columns then fills the others as a load does; a named null stays null. ``sysdate``
+    columns take the session's time, or ``load_ts`` where a batch has a load time of its own (``ALTER TABLE`` can move it on)."""
     t = TABLES[table]
-    cols = [f"{c.name} {c.dtype.simpleString()}" + (f" COMMENT {_quote(c.comment)}" if c.comment else "")
-            for c in t.columns]
+    cols = [
+        f"{c.name} {c.dtype.simpleString()}{_default_sql(c, load_ts)}" + (f" COMMENT {_quote(c.comment)}" if c.comment else "")
+        for c in t.columns
+    ]
     part = ""
     if t.event_time is not None and partition_column:
         cols.append(f"{partition_column} date")
