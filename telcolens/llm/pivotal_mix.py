@@ -12,13 +12,14 @@ copies plus a fraction. The fractions are rounded together:
   which is rounded by a draw.
 
 So the words taken of a source differ from its target by less than one document, while each document is
-taken with the wanted expectation. Blocks and draws come from hashes of (seed, doc_id): reruns agree on any
-cluster.
+taken with the wanted expectation. Blocks, their order and the draws come from hashes of the seed and of what a row is (doc_id, size, text,
+rank among equal rows) and from nothing else, such as places in a task's rows: reruns agree on any cluster and layout.
 
 Nulls: a null text has size 0; a null source is a source of its own. Documents without words are taken
 ``floor(copies)`` times plus a draw of their own. Repeated rows are documents of their own, told apart by a
-rank among the rows that agree in doc_id, source and size. An empty table gives no rows. Only doc_id, text
-and source are read by name, from the given frame.
+rank among the rows that agree in doc_id, source, size and text (which of them has which rank makes no difference). Very long texts
+are counted whole. Ties of hashes aside, no two rows share a place in the order. An empty table gives no rows. Only doc_id, text
+and source are read by name, from the given frame; the stage carries rows as one column, so no name clashes.
 
 Scale: texts are read once, for their sizes; everything else moves (doc_id, source, size) rows. Blocks hold
 about ``LEAF`` rows whatever the size of a source, so a source with a third of all rows is spread over many
@@ -69,18 +70,18 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, most: float =
 
 
 def pivot(rows: Iterator[tuple], out: list, seed: int) -> None:
-    """Rounds one block. rows: (unit, size, fraction); appends (unit, fraction) with the fraction 0, 1 or, for at
-    most one unit, between."""
+    """Rounds one block. rows: (unit, size, fraction, place); appends (row, fraction) with the fraction 0, 1 or, for at
+    most one row, between. Draws come from the units alone, never from the places."""
     held = None
     for row in rows:
-        unit, w, p = row
+        unit, w, p, place = row
         if not 0.0 < p < 1.0:
             out.append((row, p))
             continue
         if held is None:
             held = row
             continue
-        other, v, q = held
+        other, v, q, there = held
         ratio = w / v  # one unit of p is worth this much of q
         up, down = min(1.0 - p, q / ratio), min(p, (1.0 - q) / ratio)
         draw = zlib.crc32(repr((seed, unit, other)).encode()) / 2.0**32
@@ -88,14 +89,14 @@ def pivot(rows: Iterator[tuple], out: list, seed: int) -> None:
         p, q = settle(p + a), settle(q + b)
         if 0.0 < p < 1.0:
             out.append((held, q))
-            held = (unit, w, p)
+            held = (unit, w, p, place)
             if 0.0 < q < 1.0:  # only by rounding of floats: leave it to the larger
                 out[-1] = (out[-1][0], round(q))
         else:
             out.append((row, p))
-            held = (other, v, q) if 0.0 < q < 1.0 else None
+            held = (other, v, q, there) if 0.0 < q < 1.0 else None
             if held is None:
-                out.append(((other, v, q), q))
+                out.append(((other, v, q, there), q))
     if held is not None:
         out.append((held, held[2]))
 
@@ -114,9 +115,9 @@ def round_blocks(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.Re
         ends = np.flatnonzero((np.diff(source) != 0) | (np.diff(block) != 0)) + 1
         for a, b in zip([0, *ends], [*ends, len(p)]):
             done: list = []
-            pivot(zip(zip(unit[a:b].tolist(), range(a, b)), size[a:b].tolist(), p[a:b].tolist()), done, seed)
+            pivot(zip(unit[a:b].tolist(), size[a:b].tolist(), p[a:b].tolist(), range(a, b)), done, seed)
             for row, value in done:
-                p[row[0][1]] = value
+                p[row[3]] = value
         at = part.schema.get_field_index("p")
         yield from part.set_column(at, part.schema.field(at), pa.array(p)).to_batches()
 
@@ -151,7 +152,7 @@ def taken_copies(sized: DataFrame, seed: int = SEED) -> DataFrame:
     same = sized.columns
     # One row per source: the list above has just been on the driver.
     units = sized.join(F.broadcast(config), sized["source"].eqNullSafe(config["source"])).drop(config["source"])
-    key = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "rank")]
+    key = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "size", "mark", "rank")]
     units = units.withColumn("unit", F.xxhash64(F.lit(seed), *key)).withColumn(
         "block", F.pmod(F.xxhash64(F.lit(seed + 1), *key), F.col("blocks"))
     )
@@ -184,41 +185,38 @@ def taken_copies(sized: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, rank) of each document, written once: later steps don't read the texts."""
-    s = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    """(no, doc_id, source, size, mark, rank) of each row, written once: later steps don't read the texts. ``no`` is a number of the
+    row's own, which ``docs`` may bring along; ``mark`` is a hash of the text."""
+    no = F.col("no") if "no" in docs.columns else F.monotonically_increasing_id().alias("no")
+    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mark")
+    s = docs.select(no, "doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), text)
     return written(ranked(written(s, "sizes")), "sizes")
 
 
 def ranked(s: DataFrame) -> DataFrame:
-    """``rank`` tells repeated rows (equal doc_id, source and size) apart; of distinct ids every rank is 1."""
-    w = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(1))
-    return s.withColumn("rank", F.row_number().over(w))
+    """``rank`` (from 1) tells rows apart that are equal in doc_id, source, size and mark. Equal rows of one task are numbered next to each other, and the
+    counts of earlier tasks are added, so that a third of all rows may be equal and still spread over tasks."""
+    own = s.withColumn("_equal", F.xxhash64("doc_id", "source", "size", "mark")).withColumn("_task", F.shiftright("no", 33))
+    earlier = Window.partitionBy("_equal").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = own.groupBy("_equal", "_task").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select("_equal", "_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy("_equal", "_task").orderBy("no"))
+    return own.withColumn("_here", here).join(counts, ["_equal", "_task"]).select(*s.columns, (F.col("_before") + F.col("_here")).alias("rank"))
 
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken (copies * size)."""
-    out = taken_copies(sized(docs), seed)
-    return out.drop("rank").withColumn("taken", F.col("copies") * F.col("size"))
+    out = taken_copies(sized(docs.select("doc_id", "text", "source")), seed)
+    return out.drop("no", "mark", "rank").withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each document as many times as the mix takes it, with the columns of ``docs``."""
-    key = F.xxhash64(F.col("doc_id"), F.col("source").cast("string"), F.col("size"))
-    copies = (
-        taken_copies(sized(docs))
-        .groupBy(key.alias("unit_key"))  # one row, but for repeated rows of one document
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "copies"))), lambda x: x["copies"]).alias("copies"))
-    )
-    d = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"))
-    d = d.select("row", key.alias("unit_key")).join(copies, "unit_key")
-    w = Window.partitionBy("unit_key").orderBy(F.xxhash64(F.col("row.text")))
-    n = F.when(F.size("copies") == 1, F.col("copies")[0]).otherwise(F.try_element_at("copies", F.row_number().over(w)))
-    return (
-        d.withColumn("n", F.coalesce(n, F.lit(0)).cast("int"))
-        .where("n > 0")
-        .select(F.explode(F.array_repeat("row", F.col("n"))).alias("row"))
-        .select("row.*")
-    )
+    """Pipeline stage: each document as many times as the mix takes it, with the columns of ``docs``. Rows are numbered and written once,
+    and meet their copies by that number."""
+    numbered = written(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("no")), "numbered")
+    copies = taken_copies(sized(numbered.select("no", "row.doc_id", "row.text", "row.source"))).select("no", "copies")
+    taken = numbered.join(copies.where("copies > 0"), "no")
+    return taken.select(F.explode(F.array_repeat("row", F.col("copies").cast("int"))).alias("row")).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
