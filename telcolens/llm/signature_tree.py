@@ -507,9 +507,9 @@ def possible_links(members: DataFrame, rule: Rule) -> DataFrame:
 
 
 def shingled(docs: DataFrame, rule: Rule, also: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_shingles, node (null: no shingles), low (lowest hash), bitmap of each document and the columns ``also``
-    (numbers), written."""
-    ddl = "doc_id long, n_shingles long, node long, low long, bitmap binary" + "".join(f", {c} long" for c in also)
+    """doc_id, n_shingles, node (null: no shingles), low (lowest hash), bitmap, mark (a hash of the text) of each document and the columns
+    ``also`` (numbers), written."""
+    ddl = "doc_id long, n_shingles long, node long, low long, bitmap binary, mark long" + "".join(f", {c} long" for c in also)
     names = [x.split()[0] for x in ddl.split(", ")]
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -520,15 +520,16 @@ def shingled(docs: DataFrame, rule: Rule, also: tuple[str, ...] = ()) -> DataFra
             low[node != 0] = (values[first[:-1][node != 0]] >> np.uint64(1)).astype(np.int64)
             maps = pa.array(sized_bitmaps(values, first), pa.binary())
             columns = [part.column("doc_id").cast(pa.int64()), pa.array(np.diff(first)), pa.array(node, mask=node == 0), pa.array(low), maps]
-            columns += [part.column(c) for c in also]
+            columns += [part.column(c) for c in ("mark", *also)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return written(docs.select("doc_id", "text", *also).mapInArrow(count, ddl), "shingled")
+    return written(docs.select("doc_id", "text", F.xxhash64("text").alias("mark"), *also).mapInArrow(count, ddl), "shingled")
 
 
 def with_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
-    """root, total, node, shingles (sorted hashes) of the ``members`` (doc_id, node, root, total), from their texts;
-    written."""
+    """root, total, node, shingles (sorted hashes) of the ``members`` (doc_id, mark, node, root, total), from their texts;
+    written. A member is looked up by its id and the hash of its text, so ids that many rows share, or lack, bring each row
+    to one member at most; rows that repeat it meet it too, and are left out then."""
     schema = pa.schema([("root", pa.int64()), ("total", pa.int64()), ("node", pa.int64()), ("shingles", pa.binary())])
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -543,9 +544,9 @@ def with_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
                     rows.append({"root": root, "total": total, "node": m, "shingles": values[first[i] : first[i + 1]].tobytes()})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    m = members.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    d = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "text")
-    got = d.join(m.select("key", "node", "root", "total"), "key").select("text", "node", "root", "total")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")
+    d = docs.select(key, F.xxhash64("text").alias("mark"), "text")
+    got = d.join(members.select(key, "mark", "node", "root", "total"), ["key", "mark"]).select("text", "node", "root", "total")
     return written(got.mapInArrow(sets, "root long, total long, node long, shingles binary"), "sets")
 
 
@@ -558,10 +559,10 @@ def rooted(docs: DataFrame, rule: Rule, also: tuple[str, ...] = ()) -> DataFrame
     near = written(components(star_edges(in_buckets(docs, rule, buckets))), "routed")
     # One row per node: of its documents all but the ids are equal.
     same = [F.max(c).alias(n) for c, n in (("n_shingles", "size"), ("low", "low"), ("bitmap", "bitmap"))]
-    first = shingles.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), *same)
-    first = written(first.join(near, "node"), "nodes")
+    first = shingles.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("of"), *same)
+    first = written(first.join(near, "node").withColumn("doc_id", F.col("of.doc_id")).withColumn("mark", F.col("of.mark")).drop("of"), "nodes")
     near = written(components(possible_links(first, rule)), "groups")
-    members = first.select("node", "doc_id", "size").join(near, "node")
+    members = first.select("node", "doc_id", "mark", "size").join(near, "node")
     sizes = members.groupBy("root").agg(F.sum("size").alias("total"))
     sets = with_sets(docs, members.join(sizes, "root"), rule)
     # Groups that fit a task and those that don't, apart.
@@ -588,12 +589,13 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component one row stays, that of the smallest id (a missing id comes last, then the hash
     of the text decides, then the row's number). Rows stay or go one by one: repeats of a row go, rows without an id
     go like others, and a row that is no near copy stays whatever other rows have its id. Rows without words stay."""
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    rows = written(rooted(numbered.withColumn("_text", F.xxhash64("text")), COMMON, ("_text", "_row")).where("root is not null"), "rooted")
+    numbered = written(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("_row")), "numbered")
+    own = numbered.select("row.doc_id", "row.text", "_row", F.xxhash64("row.text").alias("_text"))
+    rows = written(rooted(own, COMMON, ("_text", "_row")).where("root is not null"), "rooted")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_text", "_row")).alias("first")
     kept = rows.groupBy("root").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").select("root", F.col("first._row").alias("_kept"))
     gone = rows.join(kept, "root").where("_row <> _kept").select("_row")
-    return numbered.join(gone, "_row", "left_anti").select(docs.columns)
+    return numbered.join(gone, "_row", "left_anti").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
