@@ -148,7 +148,8 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without benchmark passages."""
     gone = written(contaminated(docs, table(spark, sf_dir, "benchmark")).select("row_key").distinct(), "contaminated")
     # Ids and texts say which rows: rows that repeat a contaminated one go as well.
-    return docs.withColumn("_row_key", row_key()).join(few(gone).withColumnRenamed("row_key", "_row_key"), "_row_key", "left_anti").select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), row_key().alias("row_key"))
+    return rows.join(few(gone), "row_key", "left_anti").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
