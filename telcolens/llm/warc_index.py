@@ -44,6 +44,8 @@ BLOCK_LINES = 512
 ROLL_BYTES = 256 << 20
 # Record ranges read at once, at most.
 RANGE_BYTES = 4 << 20
+# Bytes of records that a task reads back.
+READ_BYTES = 16 << 20
 FOOTER = "<QQ4s"
 MAGIC = b"CIX1"
 
@@ -301,7 +303,9 @@ def read_records(located: DataFrame) -> DataFrame:
 
         yield from batches(rows(), schema)
 
-    ordered = located.repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    # Locators are short, but their records may not be: tasks by the bytes to read (a given number is not coalesced).
+    size = located.agg(F.sum("length")).first()[0] or 0
+    ordered = located.repartitionByRange(max(1, -(-size // READ_BYTES)), "path", "offset").sortWithinPartitions("path", "offset")
     return ordered.mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
