@@ -19,8 +19,8 @@ crosses unless a space touches other white space. Texts with such white space ar
 own pattern; texts with other rare characters or special tokens go to the library whole. All three ways give
 the library's ids (tested).
 
-Nulls: a null text is empty; it still has the end id. A null doc_id sorts first. Repeated rows are written
-each, ordered by text. An empty table gives no shards and no rows. Other columns are not read.
+Nulls: a null text is empty; it still has the end id. A null doc_id sorts first. Rows of one id are written
+each, ordered by a hash of their texts. An empty table gives no shards and no rows. Other columns are not read.
 
 Scale: one range shuffle of (doc_id, text) puts documents in order; each task streams one shard to the shared
 folder and returns one manifest row. A lost executor only repeats its tasks: file names hold the attempt, and
@@ -278,8 +278,10 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             row = {"shard": task.partitionId(), "path": f"{folder}/{name}", "docs": len(writer.docs), "ids": writer.n}
             yield pa.RecordBatch.from_pylist([row], schema)
 
-    ordered = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id, or of none, may be a third of all: ranges go on by a hash of the text and by row.
+    text = F.col("text").cast("string").alias("text")
+    ordered = docs.select("doc_id", text, F.xxhash64(text).alias("mark"), F.monotonically_increasing_id().alias("no"))
+    ordered = ordered.repartitionByRange("doc_id", "mark", "no").sortWithinPartitions("doc_id", "mark", "no").select("doc_id", "text")
     return written(ordered.mapInArrow(write, "shard int, path string, docs long, ids long"), "manifest")
 
 

@@ -48,6 +48,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="telcolens-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
+    if "://" not in root and not root.startswith("file:"):
+        # A path without a scheme is one of the cluster's file system, for Spark and for Python workers alike.
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        root = root if whole.startswith("file:") else whole
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
