@@ -11,9 +11,10 @@ At the end a worker has less than one bin of each class open. Those pieces are d
 in the same way, and so on, until one worker is left with at most a fixed number of pieces; its own last pieces, less than one
 bin a class in the whole job, follow each other and are cut where a sequence is full, so that one sequence of the job is padded.
 
-Tokens: a text of common letters and signs, on which all Unicode versions agree, is lower-cased and cut into pieces by the tokenizer file's own pattern; the
-library's model gives the ids of a piece, and a worker remembers pieces. Other texts are cut at white space, which the word-level pre-tokenizer never
-crosses and its normalizer joins; units with other characters go to the library whole, as do all texts for tokenizers of another kind.
+Tokens: a text of common letters and signs, on which all Unicode versions agree, is cut at white space into units, which the word-level pre-tokenizer never
+crosses and its normalizer joins; a unit is lower-cased and cut into pieces by the tokenizer file's own pattern. A worker remembers pieces. The
+library encodes many new pieces at once, and the model's word ends tell their ids apart. Units with other characters go to the library
+whole, as do all texts for tokenizers of another kind.
 
 Nulls: a null text is empty and gives the end id alone; null ids and repeated rows are packed as any other. An empty table gives no
 pieces. Very long texts are many full sequences. Ties do not arise. Other columns are not read, whatever their names.
@@ -27,13 +28,13 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -47,7 +48,7 @@ END_ID = 1
 # A round of leftover pieces has so many times less workers than the one before (at least 2, so that rounds end).
 FAN = 8
 # Pieces that a worker remembers: up to twice as many, the older half of which goes first; and the longest of them in characters.
-KNOWN, LONGEST = 250_000, 64
+KNOWN, LONGEST = 600_000, 64
 # White space on which str.split and the tokenizer's pattern may disagree: texts with such are cut at plain spaces and line ends only.
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # What the library alone may normalize: any but plain white space, printable ASCII, Latin without the dotted I, Cyrillic, dashes and quotes; or a special token.
@@ -61,6 +62,37 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Memory:
+    """What a worker remembers, in two halves: when the newer is full, the older goes."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.long: list[str] = []
+
+    def unknown(self, wanted: set[str]) -> set[str]:
+        """Those that are to be added; what the older half has of the others comes to the newer."""
+        out = wanted.difference(self.now)
+        if self.older:
+            kept = out.intersection(self.older)
+            self.now.update((k, self.older[k]) for k in kept)
+            out.difference_update(kept)
+        return out
+
+    def add(self, items: Iterable[tuple[str, bytes]]) -> None:
+        for k, ids in items:
+            self.now[k] = ids
+            if len(k) > LONGEST:
+                self.long.append(k)
+
+    def tidy(self) -> None:
+        for k in self.long:
+            del self.now[k]
+        self.long = []
+        if len(self.now) > KNOWN:
+            self.now, self.older = {}, self.now
+
+
 class UnitEncoder:
     """Ids of texts as little-endian u32 bytes; kept by a worker from task to task."""
 
@@ -71,20 +103,19 @@ class UnitEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = Memory()
         spec = json.loads(self.tokenizer.to_str())
         steps = (spec["normalizer"] or {}).get("normalizers", [])
         splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         joins_space = any(s["type"] == "Replace" and s["pattern"].get("Regex") == r"\s+" for s in steps)
         drops_space = bool(splits) and splits[0]["type"] == "Split" and splits[0]["invert"] and splits[0]["behavior"] == "Removed"
         spaced = any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
-        self.cuts = joins_space and drops_space and not spaced and spec["model"]["type"] == "BPE"
+        self.cuts = joins_space and drops_space and not spaced and spec["model"]["type"] == "BPE" and bool(spec["model"]["end_of_word_suffix"])
         self.pieces = regex.compile(splits[0]["pattern"]["Regex"]) if self.cuts else None
-        # How byte-level BPE writes bytes as characters: printable Latin-1 as is, the others from U+0100 on.
-        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        names = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(kept)))}
-        self.byte_names = "".join(names[b] for b in range(256))
+        if self.cuts:
+            vocabulary, end = self.tokenizer.get_vocab(), spec["model"]["end_of_word_suffix"]
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(end)]] = True
 
     @classmethod
     def of(cls, path: str) -> UnitEncoder:
@@ -95,27 +126,37 @@ class UnitEncoder:
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def learn(self, piece: str) -> None:
-        ids = self.older.get(piece)
-        if ids is None:
-            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.byte_names)
-            ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-            ids = struct.pack(f"<{len(ids)}I", *ids)
-        self.known[piece] = ids
+    def learn(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of pieces, many to a call: each is a word of its own between spaces, and ends where the model ends a word."""
+        for i in range(0, len(pieces), 1000):
+            some = pieces[i : i + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            stop = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(stop) == len(some) and stop[-1] == ids.nbytes:
+                raw, stop = ids.tobytes(), stop.tolist()
+                yield from zip(some, [raw[a:b] for a, b in zip([0, *stop], stop)])
+            else:
+                yield from zip(some, self.library(some))
 
     def plain(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts without RARE characters."""
-        pieces = [self.pieces.findall(t.lower()) for t in texts]
-        if len(self.known) > KNOWN:
-            self.known, self.older = {}, self.known
-        fresh = set().union(*pieces).difference(self.known)
-        for p in fresh:
-            self.learn(p)
-        out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
-        for p in fresh:
-            if len(p) > LONGEST:
-                del self.known[p]
-        return out
+        """Ids of texts without RARE characters. Only the distinct units of the texts are looked up; Arrow takes their ids for all units."""
+        if not texts:
+            return []
+        units = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = units.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        pieces = [[low] if low.isalpha() else self.pieces.findall(low) for low in map(str.lower, names)]
+        self.words.add(self.learn(list(self.words.unknown(set().union(*pieces)))))
+        word = self.words.now
+        own = [word[p[0]] if len(p) == 1 else b"".join([word[x] for x in p]) for p in pieces]
+        self.words.tidy()
+        ends = np.cumsum(np.fromiter(map(len, own), np.int64, len(own))) // 4
+        lists = pa.LargeListArray.from_arrays(np.concatenate([[0], ends]), np.frombuffer(b"".join(own), "<u4"))
+        taken = lists.take(coded.indices)
+        raw = taken.flatten().to_numpy().tobytes()
+        sizes = np.concatenate([[0], np.cumsum(taken.value_lengths().to_numpy())])
+        at = (4 * sizes[units.offsets.to_numpy() - units.offsets[0].as_py()]).tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
 
     def unplain(self, text: str) -> bytes:
         units = PLAIN_SPACE.split(text) if ODD_SPACE.search(text) else text.split()
