@@ -3,13 +3,14 @@ performance (S2), and the star enrichments (S3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telcolens.functions.people import age_band, age_years, money_total, zero
 from telcolens.functions.timewin import AsOf, up_to
 from telcolens.operators.joins import for_each_subscriber
 from telcolens.operators.lookup import enrich_receiver_phone
+from telcolens.operators.ranking import compare_to_group_mean
 from telcolens.operators.star import nested, star, text_of
 from telcolens.plans.questions import (
     NAMES,
@@ -17,24 +18,12 @@ from telcolens.plans.questions import (
     _complaint_counts,
     _payment_totals,
     _usage_agg,
-    t17_above_tariff_average,
-    t18_above_age_average,
 )
+from telcolens.session import ensure_checkpoint_dir
 
 
-def s01_subscriber_profile(t: Tables, as_of: AsOf) -> DataFrame:
-    """One row per subscriber with call, SMS, service-use, payment and complaint behaviour, age
-    band and gender (the segments of T16)."""
-    usage = (
-        _usage_agg(t, as_of)
-        .groupBy("subscribers_id")
-        .agg(
-            F.sum("calls").cast("bigint").alias("calls"),
-            F.sum("seconds").cast("bigint").alias("seconds"),
-            F.sum("sms").cast("bigint").alias("sms"),
-            F.count("service_id").alias("services"),
-        )
-    )
+def _profile(t: Tables, as_of: AsOf, usage: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Every subscriber with the sums of ``usage`` (one row per subscriber), payments and complaints."""
     subs = t["subscribers"].select(*NAMES, "gender", age_band(age_years("birth_date", as_of)).alias("age_band"))
     out = for_each_subscriber(
         subs, usage, _payment_totals(t, as_of), _complaint_counts(t, as_of), extra=("gender", "age_band")
@@ -51,20 +40,49 @@ def s01_subscriber_profile(t: Tables, as_of: AsOf) -> DataFrame:
         zero("amount", "decimal(38,2)"),
         "last_payment_date",
         zero("complaints"),
+        *extra,
     )
 
 
+def _usage_sums() -> list[Column]:
+    return [
+        F.sum("calls").cast("bigint").alias("calls"),
+        F.sum("seconds").cast("bigint").alias("seconds"),
+        F.sum("sms").cast("bigint").alias("sms"),
+        F.count("service_id").alias("services"),
+    ]
+
+
+def s01_subscriber_profile(t: Tables, as_of: AsOf) -> DataFrame:
+    """One row per subscriber with call, SMS, service-use, payment and complaint behaviour, age
+    band and gender (the segments of T16)."""
+    return _profile(t, as_of, _usage_agg(t, as_of).groupBy("subscribers_id").agg(*_usage_sums()))
+
+
 def s01_subscriber_segments(t: Tables, as_of: AsOf) -> DataFrame:
     """The profile with the segments that compare: call time above the age band's mean (T18), and
-    payments above the mean of any tariff used (T17; null without a tariff)."""
-    band = t18_above_age_average(t, as_of).select("subscribers_id", "above_band_avg")
+    payments above the mean of any tariff used (T17; null without a tariff).
+
+    Usage is read once: the profile with each subscriber's distinct known tariffs (as many at most as there are
+    services) is checkpointed, and both means and the flags come from it. Building this report therefore runs a job."""
+    known = t["services"].join(t["tariff_informations"].select("tariff_id"), "tariff_id", "left_semi")
+    of_service = known.groupBy("service_id").agg(F.collect_set("tariff_id").alias("of_service"))
+    usage = (
+        _usage_agg(t, as_of)
+        .join(of_service, "service_id", "left")
+        .groupBy("subscribers_id")
+        .agg(*_usage_sums(), F.array_distinct(F.flatten(F.collect_list("of_service"))).alias("tariffs"))
+    )
+    ensure_checkpoint_dir(t["subscribers"].sparkSession)
+    base = _profile(t, as_of, usage, extra=("tariffs",)).checkpoint()
+    used = base.select("subscribers_id", "amount", F.explode("tariffs").alias("tariff_id"))
     tariff = (
-        t17_above_tariff_average(t, as_of)
+        compare_to_group_mean(used, "tariff_id", "amount", "tariff_mean", "above")
         .groupBy("subscribers_id")
-        .agg(F.max("above_tariff_avg").alias("above_tariff_avg"))
+        .agg(F.max("above").alias("above_tariff_avg"))
     )
-    profile = s01_subscriber_profile(t, as_of)
-    return profile.join(band, "subscribers_id", "left").join(tariff, "subscribers_id", "left")
+    out = compare_to_group_mean(base, "age_band", "seconds", "band_mean", "above_band_avg", fixed_groups=True)
+    return out.drop("tariffs", "band_mean").join(tariff, "subscribers_id", "left")
 
 
 def s02_service_performance(t: Tables, as_of: AsOf) -> DataFrame:
