@@ -4,7 +4,7 @@ Rules the reports follow:
   * facts are aggregated to the join key before any join (no fan-out, map-side partial aggregation);
   * joins are sized by Spark (the static threshold on file statistics, then AQE on actual shuffle
     sizes); beyond the bounds the join stays a shuffle join and AQE splits skewed partitions.
-    Building a query runs no job. Hints appear only where the row count is bounded by construction (a
+    Building a query runs no job (but for the segment report's checkpoint). Hints appear only where the row count is bounded by construction (a
     top-k key list, the five age-band means);
   * the many-rows side of a join is the left (streamed) side, so a hot key is never buffered and
     AQE skew-join can split it.
