@@ -15,7 +15,17 @@ from telcolens.functions.people import (
     BAND_51_AND_ABOVE,
     BAND_UNKNOWN,
 )
-from telcolens.sources.driver_adapter import AS_OF, AS_OF_SMS_12M, DRIVER_FKS, DRIVER_KEYS, ORACLE_CTES
+from telcolens.sources.driver_adapter import (
+    AS_OF,
+    AS_OF_SMS_12M,
+    BATCH_FKS,
+    BATCH_FROM,
+    BATCH_KEYS,
+    BATCH_TIMES,
+    DRIVER_FKS,
+    DRIVER_KEYS,
+    ORACLE_CTES,
+)
 
 A = f"TIMESTAMP '{AS_OF}'"
 A12 = f"TIMESTAMP '{AS_OF_SMS_12M}'"
@@ -483,5 +493,41 @@ def domain_sql(checks: list[tuple[str, str, str, int]]) -> str:
     return _with() + "\nUNION ALL\n".join(parts)
 
 
+def _batch_rows(table: str, cols: str) -> str:
+    """History and batch one after the other: a row that both hold counts twice."""
+    time = BATCH_TIMES[table]
+    return (
+        f"(SELECT {cols}, FALSE AS new FROM {table} WHERE {time} < {A} "
+        f"UNION ALL SELECT {cols}, TRUE FROM {table} WHERE {time} >= TIMESTAMP '{BATCH_FROM}')"
+    )
+
+
+def _batch_pk_sql() -> str:
+    parts = []
+    for table, cols in BATCH_KEYS.items():
+        key = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '<null>')" for c in cols)
+        nulls = " OR ".join(f"{c} IS NULL" for c in cols)
+        parts.append(
+            f"SELECT '{table}' AS table_name, concat_ws('|', {key}) AS key_value, COUNT(*) AS n_rows "
+            f"FROM {_batch_rows(table, ', '.join(cols))} GROUP BY {', '.join(cols)} HAVING bool_or(new) AND (COUNT(*) > 1 OR {nulls})"
+        )
+    return _with() + "\nUNION ALL\n".join(parts)
+
+
+def _batch_fk_sql() -> str:
+    parts = []
+    for child, col, parent, pcol in BATCH_FKS:
+        known = _batch_rows(parent, pcol) if parent in BATCH_TIMES else parent
+        parts.append(
+            f"SELECT '{child}' AS table_name, '{col}' AS column_name, '{parent}' AS parent_table, "
+            f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS orphan_rows, COUNT(*) AS orphan_keys "
+            f"FROM (SELECT {col} AS k, COUNT(*) AS n FROM {_batch_rows(child, col)} WHERE new AND {col} IS NOT NULL GROUP BY {col}) c "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {known} p WHERE p.{pcol} = c.k)"
+        )
+    return _with() + "\nUNION ALL\n".join(parts)
+
+
+SQL["dq_batch_pk"] = _batch_pk_sql()
+SQL["dq_batch_fk"] = _batch_fk_sql()
 SQL["dq_pk"] = _pk_sql()
 SQL["dq_fk"] = _fk_sql()

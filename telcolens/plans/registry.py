@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from telcolens.functions.timewin import ts_lit
+from telcolens.operators import key_filters
 from telcolens.operators.lookup import enrich_receiver_phone
 from telcolens.operators.quality import domain_violations, fk_summary, pk_violations
 from telcolens.operators.usage import subscriber_tariff, usage_union
@@ -15,6 +18,10 @@ from telcolens.plans.questions import QUESTIONS, _usage_agg
 from telcolens.sources.driver_adapter import (
     AS_OF,
     AS_OF_SMS_12M,
+    BATCH_FKS,
+    BATCH_FROM,
+    BATCH_KEYS,
+    BATCH_TIMES,
     DRIVER_FKS,
     DRIVER_KEYS,
     driver_domain_checks,
@@ -85,6 +92,26 @@ def _dq_fk(t):
     return fk_summary(t, DRIVER_FKS)
 
 
+def _last_batch(t):
+    """A delivery that sends its first month again: history is all facts before AS_OF and all lookups, the batch all facts
+    from BATCH_FROM on."""
+    batch = {n: t[n].where(F.col(c) >= ts_lit(BATCH_FROM)) for n, c in BATCH_TIMES.items()}
+    history = {n: t[n].where(F.col(BATCH_TIMES[n]) < ts_lit(AS_OF)) if n in BATCH_TIMES else t[n] for n in t}
+    return batch, history
+
+
+def _dq_batch_pk(t):
+    batch, history = _last_batch(t)
+    filters = key_filters.history_filter(history, key_filters.spaces(BATCH_KEYS))
+    return key_filters.batch_pk_violations(batch, history, filters, BATCH_KEYS)
+
+
+def _dq_batch_fk(t):
+    batch, history = _last_batch(t)
+    filters = key_filters.history_filter(history, key_filters.spaces({}, BATCH_FKS))
+    return key_filters.batch_fk_summary(batch, history, filters, BATCH_FKS)
+
+
 def _dq_domain(t):
     return domain_violations(t, driver_domain_checks())
 
@@ -108,6 +135,8 @@ def queries() -> dict[str, Query]:
     out["enrich_receiver_phone"] = _tables_query(_enrich)
     out["dq_pk"] = _tables_query(_dq_pk)
     out["dq_fk"] = _tables_query(_dq_fk)
+    out["dq_batch_pk"] = _tables_query(_dq_batch_pk)
+    out["dq_batch_fk"] = _tables_query(_dq_batch_fk)
     out["dq_domain"] = _tables_query(_dq_domain)
     return out
 

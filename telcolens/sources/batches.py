@@ -7,6 +7,9 @@ fails where the name is taken: of two attempts at one batch id, one is committed
 
 Facts are partitioned by event month below their batch, as ``load.append`` writes them, so windows prune (``timewin.restrict``). A manifest
 is a few hundred bytes; readers list them on the driver, one a batch. ``vacuum`` removes folders of attempts that no manifest names.
+
+``check_batch`` holds a batch's keys against all committed batches. A committed folder's key filter is written once, from its key columns, below
+``<root>/_keys`` under the folder's name; a filter that is lost or was never written is made again from the folder.
 """
 
 from __future__ import annotations
@@ -14,16 +17,19 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from telcolens.functions.timewin import MONTH_COLUMN
+from telcolens.operators import key_filters
 from telcolens.sources.load import with_month
 from telcolens.sources.schemas import TABLES
 
 COMMITS = "_commits"
+KEYS = "_keys"
 BATCH_COLUMN = "batch"
 
 
@@ -117,6 +123,44 @@ def read_committed(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(full).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders]).drop(BATCH_COLUMN)
 
 
+def stored_filters(spark: SparkSession, root: str, order: Mapping[key_filters.Space, int], capacity: int = key_filters.CAPACITY) -> DataFrame:
+    """The merged key filters of all committed batches, in the spaces ``order``. ``capacity``: distinct keys a space is to hold in all;
+    filters written with another one stay in use beside the new."""
+    blocks, found = key_filters.blocks_for(capacity), committed(spark, root)
+    parts = [spark.createDataFrame([], "space int, blocks long, block long, bits binary")]
+    for (table, cols), space in order.items():
+        base = f"{root}/{KEYS}/{table}/{'.'.join(cols)}"
+        for folder in (f[table] for f in found.values() if table in f):
+            done = [n for n in _names(spark, f"{base}/{folder}") if "_SUCCESS" in _names(spark, f"{base}/{folder}/{n}")]
+            if not done:
+                rows = spark.read.schema(TABLES[table].schema).parquet(f"{root}/{table}/{folder}")
+                key_filters.key_filter(key_filters.keys_of(rows, 0, cols), blocks).drop("space").write.mode("overwrite").parquet(f"{base}/{folder}/{blocks}")
+        paths = [f"{base}/{f[table]}/*" for f in found.values() if table in f]
+        if paths:
+            bits = spark.read.schema("blocks long, block long, bits binary").parquet(*paths)
+            parts.append(bits.selectExpr(f"{space} AS space", "blocks", "block", "bits"))
+    return key_filters.merged(reduce(DataFrame.unionByName, parts))
+
+
+def check_batch(
+    spark: SparkSession,
+    root: str,
+    batch: Mapping[str, DataFrame],
+    keys: Mapping[str, tuple[str, ...]],
+    fks: Iterable[tuple[str, str, str, str]] = (),
+    capacity: int = key_filters.CAPACITY,
+) -> tuple[DataFrame, DataFrame | None]:
+    """A4 and A5 of a batch before it is appended, against all committed batches and itself: the violated primary keys and the
+    orphans per foreign key (None without ``fks``), as the full checks give them on the union, for the keys and rows of the batch."""
+    fks = list(fks)
+    pk_order, fk_order = key_filters.spaces(keys), key_filters.spaces({}, fks)
+    history = {t: read_committed(spark, root, t) for t, _ in {**pk_order, **fk_order}}
+    pk = key_filters.batch_pk_violations(batch, history, stored_filters(spark, root, pk_order, capacity), keys)
+    if not any(fk[0] in batch for fk in fks):
+        return pk, None
+    return pk, key_filters.batch_fk_summary(batch, history, stored_filters(spark, root, fk_order, capacity), fks)
+
+
 def vacuum(spark: SparkSession, root: str) -> list[str]:
     """Removes the folders that no manifest names, and returns them. Not to be run while a batch is being written."""
     named = {(t, f) for tables in committed(spark, root).values() for t, f in tables.items()}

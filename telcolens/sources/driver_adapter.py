@@ -67,6 +67,16 @@ DRIVER_FKS: tuple[tuple[str, str, str, str], ...] = (
     # Not a key of the model: subscribers who never sent an SMS, so that the check has something to find.
     ("subscribers", "subscribers_id", "sms_informations", "sender_id"),
 )
+# A batch of facts that overlaps history by a month, for the checks of one batch against all history.
+BATCH_FROM = "2001-07-02 00:00:00"
+BATCH_TIMES: dict[str, str] = {"payments": "payment_date", "calls": "call_date", "sms_informations": "sms_date"}
+BATCH_KEYS: dict[str, tuple[str, ...]] = {name: DRIVER_KEYS[name] for name in BATCH_TIMES}
+BATCH_FKS: tuple[tuple[str, str, str, str], ...] = (
+    *(fk for fk in DRIVER_FKS if fk[0] in BATCH_TIMES),
+    # Not keys of the model: senders who never called or paid, by facts of history and batch together.
+    ("sms_informations", "sender_id", "calls", "caller_id"),
+    ("sms_informations", "sender_id", "payments", "subscribers_id"),
+)
 # Tariffs that are not on offer any more, as some of the sample rows are.
 TARIFF_STATUS = "CASE WHEN tariff_id < 'L' THEN 'PASSIVE' ELSE 'ACTIVE' END"
 
