@@ -17,6 +17,7 @@ from telcolens.functions.people import (
 )
 from telcolens.sources.driver_adapter import (
     AS_OF,
+    AS_OF_SERIES,
     AS_OF_SMS_12M,
     BATCH_FKS,
     BATCH_FROM,
@@ -493,6 +494,57 @@ def domain_sql(checks: list[tuple[str, str, str, int]]) -> str:
     return _with() + "\nUNION ALL\n".join(parts)
 
 
+DATES = "dates AS (SELECT as_of FROM (VALUES " + ", ".join(f"(TIMESTAMP '{d}')" for d in AS_OF_SERIES) + ") v(as_of))"
+
+
+def _at(table: str, time: str, months: int) -> str:
+    return f"dates d JOIN {table} f ON f.{time} >= d.as_of - INTERVAL {months} MONTH AND f.{time} <= d.as_of"
+
+
+SQL["t01_service_usage_at_dates"] = _with(_usage(A, None), DATES) + f"""
+SELECT u.as_of, u.subscribers_id, s.name, s.surname, u.service_id, v.service_name, u.uses
+FROM (SELECT d.as_of, f.subscribers_id, f.service_id, COUNT(*) AS uses FROM {_at('usage', 'used_at', 3)}
+      WHERE f.service_id IS NOT NULL GROUP BY ALL) u
+LEFT JOIN services v ON v.service_id = u.service_id
+LEFT JOIN subscribers s ON s.subscribers_id = u.subscribers_id
+"""
+
+SQL["t06_calls_by_kind_at_dates"] = _with(DATES) + f"""
+SELECT c.as_of, c.call_type_id, k.name AS kind, c.subscribers, c.seconds
+FROM (SELECT d.as_of, f.call_type_id, COUNT(DISTINCT f.caller_id) AS subscribers, CAST(SUM(f.call_duration) AS BIGINT) AS seconds
+      FROM {_at('calls', 'call_date', 12)} GROUP BY ALL) c
+LEFT JOIN call_type k ON k.call_type_id = c.call_type_id
+"""
+
+SQL["t07_inactive_recent_payers_at_dates"] = _with(DATES) + f"""
+SELECT d.as_of, s.subscribers_id, s.name, s.surname, s.status, f.payment_id, f.payment_date
+FROM {_at('payments', 'payment_date', 6)} JOIN subscribers s ON s.subscribers_id = f.subscribers_id
+WHERE s.status <> 'ACTIVE'
+"""
+
+AT_DATES6 = f"""pay6 AS (
+  SELECT d.as_of, f.subscribers_id, CAST(SUM(f.amount) AS DECIMAL(38,2)) AS amount
+  FROM {_at('payments', 'payment_date', 6)} GROUP BY ALL),
+svc6 AS (
+  SELECT d.as_of, f.subscribers_id, COUNT(DISTINCT f.service_id) AS services
+  FROM {_at('usage', 'used_at', 6)} WHERE f.service_id IS NOT NULL GROUP BY ALL)"""
+
+SQL["t08_payments_services_at_dates"] = _with(_usage(A, None), DATES, AT_DATES6) + f"""
+SELECT a.as_of, a.subscribers_id, s.name, s.surname, {_z('a.services', 'services')}, {_z('a.amount', 'amount', M)}
+FROM (SELECT COALESCE(p.as_of, v.as_of) AS as_of, COALESCE(p.subscribers_id, v.subscribers_id) AS subscribers_id, v.services, p.amount
+      FROM pay6 p FULL OUTER JOIN svc6 v ON p.subscribers_id = v.subscribers_id AND p.as_of = v.as_of) a
+LEFT JOIN subscribers s ON s.subscribers_id = a.subscribers_id
+WHERE a.subscribers_id IS NOT NULL
+"""
+
+SQL["t14_all_payments_services_at_dates"] = _with(_usage(A, None), DATES, AT_DATES6) + f"""
+SELECT d.as_of, s.subscribers_id, s.name, s.surname, {_z('v.services', 'services')}, {_z('p.amount', 'amount', M)}
+FROM subscribers s CROSS JOIN dates d
+LEFT JOIN pay6 p ON p.subscribers_id = s.subscribers_id AND p.as_of = d.as_of
+LEFT JOIN svc6 v ON v.subscribers_id = s.subscribers_id AND v.as_of = d.as_of
+"""
+
+
 def _batch_rows(table: str, cols: str) -> str:
     """History and batch one after the other: a row that both hold counts twice."""
     time = BATCH_TIMES[table]

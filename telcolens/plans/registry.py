@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,13 @@ from telcolens.operators import key_filters
 from telcolens.operators.lookup import enrich_receiver_phone
 from telcolens.operators.quality import domain_violations, fk_summary, pk_violations
 from telcolens.operators.usage import subscriber_tariff, usage_union
-from telcolens.plans import oracle
+from telcolens.plans import oracle, series
 from telcolens.plans.profile import PROFILES
 from telcolens.plans.questions import QUESTIONS, _usage_agg
+from telcolens.session import ensure_checkpoint_dir
 from telcolens.sources.driver_adapter import (
     AS_OF,
+    AS_OF_SERIES,
     AS_OF_SMS_12M,
     BATCH_FKS,
     BATCH_FROM,
@@ -92,6 +95,19 @@ def _dq_fk(t):
     return fk_summary(t, DRIVER_FKS)
 
 
+def _series(fn, *stores: str) -> Query:
+    """A report at twelve dates, from tiles written once into the shared folder."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = driver_tables(spark, sf_dir)
+        root = f"{ensure_checkpoint_dir(spark)}/tiles-{uuid.uuid4().hex}"
+        series.append_stores(t, root, stores)
+        return fn(t, root, AS_OF_SERIES) if stores else fn(t, AS_OF_SERIES)
+
+    run.__name__ = fn.__name__
+    return run
+
+
 def _last_batch(t):
     """A delivery that sends its first month again: history is all facts before AS_OF and all lookups, the batch all facts
     from BATCH_FROM on."""
@@ -130,6 +146,11 @@ def queries() -> dict[str, Query]:
     out["s03_payment_enrichment"] = _report(PROFILES["s03_payment_enrichment"], AS_OF)
     for name in ("s03_address_enrichment", "s03_device_enrichment", "s03_complaint_enrichment"):
         out[name] = _report(PROFILES[name], AS_OF)
+    out["t01_service_usage_at_dates"] = _series(series.t01_at_dates, "uses")
+    out["t06_calls_by_kind_at_dates"] = _series(series.t06_at_dates, "callers")
+    out["t07_inactive_recent_payers_at_dates"] = _series(series.t07_at_dates)
+    out["t08_payments_services_at_dates"] = _series(series.t08_at_dates, "payments", "uses")
+    out["t14_all_payments_services_at_dates"] = _series(series.t14_at_dates, "payments", "uses")
     out["usage_union"] = _tables_query(_usage_union)
     out["subscriber_tariff"] = _tables_query(_subscriber_tariff)
     out["enrich_receiver_phone"] = _tables_query(_enrich)

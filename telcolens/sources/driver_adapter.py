@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 # Fixed values of the mapping.
 AS_OF = "2001-08-02 00:00:00"  # report time for every question
 AS_OF_SMS_12M = "2002-07-15 00:00:00"  # report time for the two 12-month SMS questions
+AS_OF_SERIES = tuple(f"{2001 - (k > 7)}-{(7 - k) % 12 + 1:02d}-02 00:00:00" for k in range(12))  # the day of AS_OF in twelve months
 SMS_SHIFT_MONTHS = 270  # events are moved back onto the orders' clock
 SMS_SERVICES = 200  # SMS service id = event_id mod this
 BIRTH_ORIGIN = "1940-01-01"
