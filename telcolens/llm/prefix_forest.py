@@ -7,13 +7,13 @@ bits and ascends in all trees together, to ranges of shorter prefixes; candidate
 original vectors.
 
 Each query stops for itself: at the level (prefix length) at which it has k candidates and would miss its true
-neighbours with a mean chance of at most ``MISS``. Its true i-th neighbour is no farther than its i-th candidate, so the
+neighbours with a mean chance of at most ``MISS``, a bound that leaves room below a tenth. Its true i-th neighbour is no farther than its i-th candidate, so the
 angle between them around the mean is at most the widest one that this distance allows, given the query's distance from
 the mean and the least one of all vectors; the chance follows from the collision probability 1 - angle / pi of a
 bit. Until then it ascends to the longest prefix that satisfies this for the candidates found so far, but by a third of its
-level at most. Prefixes of fewer than log2(trees) bits hold more in all trees than there are vectors, so a query that
-ascends so far goes to the root and meets all vectors. All vectors are indexed and no candidate list is cut. Data
-without structure send many queries to the root; queries in clusters stop at long prefixes.
+level at most. Below log2(trees) + 2 bits it ascends by one bit at a time, as each doubles what it meets. A query that one bit does not
+satisfy goes to the root and meets all vectors. All vectors are indexed and no candidate list is cut. In data without structure queries
+stop at prefixes of a few bits, in clusters at long ones.
 
 Equal vectors are one: it carries the k + 1 smallest ids of its rows, which is all a result can show. Vectors that
 are null, empty, zero or hold null or non-finite components take no part. Vectors of different lengths do not meet.
@@ -44,7 +44,7 @@ from telcolens.llm.common import batches, shared_dir, table, written
 from telcolens.llm.signature_tree import grouped
 
 TREES, BITS = 32, 24
-MISS = 0.03
+MISS = 0.05
 CELL = 4096
 SEED = 20240201
 
@@ -286,8 +286,9 @@ def ascended(found: DataFrame, queries: DataFrame, k: int, trees: int, bits: int
     lower = F.floor(F.col("level") * 2 / 3).cast("int")
     fitting = F.array_max(F.transform("fine", lambda f, j: F.when(f & (j + 1 < F.col("level")), j + 1).otherwise(0)))
     after = F.when(full, F.greatest(lower, fitting)).otherwise(lower)
-    fewest = int(np.ceil(np.log2(max(2, trees))))
-    return both.select("rep", "vector", F.when(after < fewest, 0).otherwise(after).cast("int").alias("level"))
+    near = 2 + int(np.ceil(np.log2(max(2, trees))))
+    after = F.when(F.col("level") <= near, F.col("level") - 1).otherwise(F.greatest(after, F.lit(near)))
+    return both.select("rep", "vector", after.cast("int").alias("level"))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = TREES, bits: int = BITS) -> DataFrame:
