@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telcolens.llm.common import shared_dir, sorted_sums, table, written
+from telcolens.llm.common import shared_dir, table, written
 from telcolens.llm.signature_tree import grouped
 from telcolens.llm.tokens import hash_words, mix
 
@@ -68,6 +68,27 @@ def unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(unpack(raw), dtype=np.uint64)
 
 
+def ascending(keys: np.ndarray) -> np.ndarray:
+    """An order that sorts ``keys``. Their upper bits are sorted with the positions in the lower ones, a sort of plain numbers; where that
+    is not the order of the whole keys, they are sorted in full."""
+    bits = np.uint64(max(1, (len(keys) - 1).bit_length()) if len(keys) else 1)
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    ranked = keys[order]
+    return order if bool((ranked[1:] >= ranked[:-1]).all()) else np.argsort(keys)
+
+
+def ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, ascending; each key's position among them; and the position of one key of each."""
+    order = ascending(keys)
+    ranked = keys[order]
+    begins = np.ones(len(ranked), bool)
+    begins[1:] = ranked[1:] != ranked[:-1]
+    at = np.empty(len(keys), np.int32)
+    at[order] = np.cumsum(begins, dtype=np.int32) - 1
+    return ranked[begins], at, order[begins]
+
+
 def packed_blocks(docs: DataFrame, remainder: int) -> DataFrame:
     """Blocks of whole documents: block, doc_ids, no_id, lengths (tokens with begin and end), trains, words, at."""
     schema = "block long, doc_ids binary, no_id binary, lengths binary, trains binary, words binary, at binary, tokens long"
@@ -80,7 +101,7 @@ def packed_blocks(docs: DataFrame, remainder: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             ids, lengths, tokens = (sum((x[0] for x in held), []), *(np.concatenate([x[i] for x in held]) for i in (1, 2)))
-            words, at = np.unique(tokens, return_inverse=True)
+            words, at, _ = ranks(tokens)
             trains = np.array([d is None or zlib.crc32(str(d).encode()) % 5 != remainder for d in ids])
             ends = np.cumsum(lengths)
             # Of the tokens that are learned from, begins don't count as tokens.
@@ -117,7 +138,7 @@ def packed_blocks(docs: DataFrame, remainder: int) -> DataFrame:
 class Block:
     """One block with all that the exchange has returned to it; works out what to ask next."""
 
-    def __init__(self, row: dict, answers: dict[int, bytes], known: dict):
+    def __init__(self, row: dict, answers: dict[int, np.ndarray], known: dict):
         self.answers, self.known = answers, known
         n = len(row["no_id"])
         ids, none = np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["no_id"], "u1")
@@ -130,37 +151,34 @@ class Block:
         self.learn = trains[doc]
         words, at = unpack_sorted(row["words"]), unpack(row["at"]).astype(np.int32)
         self.token = words[at]
-        # Of n-grams that end at each token, by number of words less one: key position, own count, total count.
+        # Of n-grams by number of words less one: the tokens that they end at, each one's key position and that of its context (among
+        # the keys of the level below); the key position at every token, or -1; the hashes at those tokens; the keys' own and total counts.
         own = np.bincount(at, self.learn, minlength=len(words)).astype(np.int64)
+        self.ends, self.at_ends, self.context = [np.arange(len(at))], [at], [at[:0]]
         self.keys, self.at, self.own = [words], [at], [own]
         self.count: list[np.ndarray] = []
-        self.gram = [self.token]
+        self.gram = self.token
 
     def counts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Keys of n-grams of k + 1 words that must be asked for, and this block's own sums of them."""
         if k == 0:
             return self.keys[0], self.own[0]
-        use = self.place >= k
-        before = np.concatenate([[0], self.at[k - 1][:-1]])  # the context ends one token earlier
         c, o = self.count[k - 1], self.own[k - 1]
-        frequent = use & (c[before] >= self.known["least"])
-        gram = mix(np.concatenate([np.zeros(1, np.uint64), self.gram[k - 1][:-1]]) + mix(self.token + np.uint64(k)))
-        looked = np.flatnonzero(frequent)
-        order = np.argsort(gram[looked])
-        ranked = gram[looked][order]
-        begins = np.ones(len(ranked), bool)
-        begins[1:] = ranked[1:] != ranked[:-1]
-        keys = ranked[begins]
-        at = np.empty(len(looked), np.int32)
-        at[order] = np.cumsum(begins, dtype=np.int32) - 1
-        self.gram.append(gram)
-        full = np.full(len(gram), -1, np.int32)
+        # Each frequent context goes on to the next token, unless that begins a text.
+        after = self.ends[k - 1] + 1
+        use = (c[self.at_ends[k - 1]] >= self.known["least"]) & np.append(self.place, 0).astype(bool)[after]
+        looked, context = after[use], self.at_ends[k - 1][use]
+        self.gram = mix(self.gram[use] + mix(self.token[looked] + np.uint64(k)))
+        keys, at, first = ranks(self.gram)
+        full = np.full(len(self.token), -1, np.int32)
         full[looked] = at
         own = np.bincount(at, self.learn[looked], minlength=len(keys)).astype(np.int64)
         # A context or a suffix that is in this block's training only: its n-grams are, too.
-        where = looked[order[begins]]
-        suffix = self.at[k - 1][where]
-        elsewhere = (c[before[where]] > o[before[where]]) & np.where(suffix >= 0, c[suffix] > o[suffix], True)
+        suffix = self.at[k - 1][looked[first]]
+        elsewhere = (c[context[first]] > o[context[first]]) & np.where(suffix >= 0, c[suffix] > o[suffix], True)
+        self.ends.append(looked)
+        self.at_ends.append(at)
+        self.context.append(context)
         self.keys.append(keys)
         self.at.append(full)
         self.own.append(own)
@@ -169,7 +187,7 @@ class Block:
 
     def learn_counts(self, k: int) -> None:
         """Takes in the answer to ``counts(k)``."""
-        got = unpack(self.answers[k]).astype(np.int64) if k in self.answers else np.zeros(0, np.int64)
+        got = self.answers.get(k, np.zeros(0, np.int64))
         if k == 0:
             total = got
         else:
@@ -179,22 +197,19 @@ class Block:
         self.count.append(np.append(total, 0))
         self.own[k] = np.append(self.own[k], 0)
 
-    def contexts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """For tokens with a candidate context of k words: their positions, and the context's position among keys k - 1."""
-        at = np.flatnonzero(self.at[k] >= 0)
-        return at, self.at[k - 1][at - 1]
-
     def tests(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the candidate contexts of k words, and this block's part of their divergence."""
         before = (self.count[0][self.at[0]] - 0.5) / (self.known["n"] - 1 + 0.5 * (self.known["v"] + 1))
         before[~self.learn] = 1.0
         for j in range(1, k + 1):
-            at, context = self.contexts(j)
+            at, context = self.ends[j], self.context[j]
+            learn, below = self.learn[at], before[at]
             of = self.count[j - 1][context] - 1.0
             m = self.known["mu"] + self.known["beta"] * of
             # Without the occurrence itself: for training tokens only, which all counts hold.
-            now = np.where(self.learn[at], (self.count[j][self.at[j][at]] - 1.0 + m * before[at]) / (of + m), 1.0)
-            part = np.where(self.learn[at], np.log(now / before[at]), 0.0)
+            now = np.where(learn, (self.count[j][self.at_ends[j]] - 1.0 + m * below) / (of + m), 1.0)
+            if j == k:
+                part = np.where(learn, np.log(now / below), 0.0)
             before[at] = now
         sums = np.bincount(context, part, minlength=len(self.keys[k - 1]))
         tested = self.positions(k, context)
@@ -214,19 +229,19 @@ class Block:
         root = self.root()
         p = root.copy()
         for k in range(1, depth + 1):
-            at, context = self.contexts(k)
+            at, context = self.ends[k], self.context[k]
             retained = np.zeros(len(self.count[k - 1]), bool)
             if TESTS + k in self.answers:
-                retained[self.positions(k, context)] = np.frombuffer(self.answers[TESTS + k], "u1").astype(bool)
+                retained[self.positions(k, context)] = self.answers[TESTS + k]
             on = retained[context]
-            at, context = at[on], context[on]
+            at, context, key = at[on], context[on], self.at_ends[k][on]
             of = self.count[k - 1][context]
             m = self.known["mu"] + self.known["beta"] * of
-            p[at] = (self.count[k][self.at[k][at]] + m * p[at]) / (of + m)
+            p[at] = (self.count[k][key] + m * p[at]) / (of + m)
         return root, p
 
 
-def replay(row: dict, answers: dict[int, bytes], known: dict, level: int) -> Block:
+def replay(row: dict, answers: dict[int, np.ndarray], known: dict, level: int) -> Block:
     """The block as it was after the answers of the levels below ``level``."""
     block = Block(row, answers, known)
     for k in range(level):
@@ -235,14 +250,14 @@ def replay(row: dict, answers: dict[int, bytes], known: dict, level: int) -> Blo
     return block
 
 
-def received(right: pa.Table) -> dict[int, bytes]:
-    """Answers by kind, each bucket after the other."""
+def received(right: pa.Table) -> dict[int, np.ndarray]:
+    """Answers by kind, each bucket after the other: counts, or whether divergences pass."""
     out: dict[int, list] = {}
     for r in sorted(right.to_pylist(), key=lambda r: (r["kind"], r["bucket"])):
         out.setdefault(r["kind"], []).append(r["sums"])
     whole = {}
     for kind, parts in out.items():
-        whole[kind] = pack(np.concatenate([unpack(p) for p in parts])) if kind < TESTS else b"".join(parts)
+        whole[kind] = np.concatenate([unpack(p) for p in parts]).astype(np.int64) if kind < TESTS else np.frombuffer(b"".join(parts), bool)
     return whole
 
 
@@ -275,10 +290,11 @@ def exchanged(asked: DataFrame, divergence: float) -> DataFrame:
         bucket, kind = key
         keys = [unpack_sorted(r["keys"]) for r in rows]
         sums = [np.frombuffer(r["sums"], "<f4").astype(np.float64) if kind >= TESTS else unpack(r["sums"]).astype(np.int64) for r in rows]
-        names, total = sorted_sums(np.concatenate(keys), np.concatenate(sums))
+        names, at, _ = ranks(np.concatenate(keys))
+        total = np.bincount(at, np.concatenate(sums), minlength=len(names))
+        total = total if kind >= TESTS else total.astype(np.int64)  # counts stay exact: they are below 2 to the 53
         out = []
-        for r, k in zip(rows, keys):
-            got = total[np.searchsorted(names, k)]
+        for r, got in zip(rows, np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])):
             packed = (got >= divergence).astype("u1").tobytes() if kind >= TESTS else pack(got)
             out.append({"block": r["block"], "kind": kind, "bucket": bucket, "sums": packed})
         if kind == 0:  # distinct words of the training tokens, but the begin
