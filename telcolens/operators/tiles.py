@@ -60,12 +60,12 @@ class Tile:
 
 
 def day_and_month_tiles(facts: DataFrame, tile: Tile) -> DataFrame:
-    """The tiles of ``facts``: one aggregation to days, of which months are made."""
+    """The tiles of ``facts``: one aggregation to days, of which months are made (days are not aggregated again)."""
     days = tile.grouped_facts(facts.where(F.col(tile.time).isNotNull()).withColumn("start", F.to_date(tile.time)), "start")
     types = dict(days.dtypes)
-    levels = F.explode(F.array(F.struct(F.lit(DAY).alias("level"), "start"), F.struct(F.lit(MONTH).alias("level"), F.trunc("start", "month").alias("start"))))
-    both = days.withColumn("t", levels).select("t.*", *tile.group, *tile.values)
-    return both.groupBy("level", "start", *tile.group).agg(*tile.of_tiles(types)).withColumn(MONTH_COLUMN, F.trunc("start", "month"))
+    months = days.withColumn("start", F.trunc("start", "month")).groupBy("start", *tile.group).agg(*tile.of_tiles(types))
+    levels = [df.select(F.lit(level).alias("level"), "start", *tile.group, *tile.values) for level, df in ((DAY, days), (MONTH, months))]
+    return reduce(DataFrame.unionByName, levels).withColumn(MONTH_COLUMN, F.trunc("start", "month"))
 
 
 def append_tiles(facts: DataFrame, tile: Tile, path: str) -> None:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import pytest
 from conftest import SMOKE_SF
+from test_plans import explain
 
 from telcolens import session
+from telcolens.operators import tiles
+from telcolens.plans import series
 from telcolens.sources.driver_adapter import driver_tables
 
 MERGED, FILES = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
@@ -23,3 +26,10 @@ def test_tables_are_read_in_small_tasks(spark, given, want):
     own.conf.set(FIRST, "5000")
     driver_tables(own, SMOKE_SF)
     assert own.conf.get(FIRST) == "5000"
+
+
+def test_days_are_aggregated_once(spark):
+    t = driver_tables(spark, SMOKE_SF)
+    made = tiles.day_and_month_tiles(series.store_facts(t, "uses"), series.USES)
+    assert "Generate" not in explain(made, "formatted")  # no row is copied to a level before it is aggregated
+    assert made.groupBy("level", "start", *series.USES.group).count().where("count > 1").isEmpty()
