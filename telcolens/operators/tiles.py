@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from telcolens.functions.timewin import MONTH_COLUMN, AsOf, as_datetime, months_before, ts_lit
 
 DAY, MONTH = "day", "month"
+ID = "_id"  # a value of the distinct column
 
 
 @dataclass(frozen=True)
@@ -45,26 +46,46 @@ class Tile:
     def values(self) -> tuple[str, ...]:
         return (*self.measures, "bits") if self.distinct else tuple(self.measures)
 
-    def of_facts(self) -> list[Column]:
-        bits = [F.bitmap_construct_agg(F.bitmap_bit_position(F.col(self.distinct).cast("long"))).alias("bits")] if self.distinct else []
-        return [*(F.expr(sql).alias(name) for name, (sql, _) in self.measures.items()), *bits]
+    def merges(self, types: Mapping[str, str]) -> list[Column]:
+        return [F.expr(f"CAST({fn}(`{name}`) AS {types[name]}) AS `{name}`") for name, (_, fn) in self.measures.items()]
 
     def of_tiles(self, types: Mapping[str, str]) -> list[Column]:
-        bits = [F.bitmap_or_agg("bits").alias("bits")] if self.distinct else []
-        return [*(F.expr(f"CAST({fn}(`{name}`) AS {types[name]}) AS `{name}`") for name, (_, fn) in self.measures.items()), *bits]
+        return [*self.merges(types), *([F.bitmap_or_agg("bits").alias("bits")] if self.distinct else [])]
+
+    @property
+    def entry(self) -> tuple[str, ...]:
+        return (*self.keys, ID) if self.distinct else self.keys
+
+    def entries(self, facts: DataFrame, *more: str) -> DataFrame:
+        """The measures of ``facts`` by ``more`` and keys; with ``distinct``, by its value too."""
+        if self.distinct:
+            facts = facts.withColumn(ID, F.col(self.distinct).cast("long"))
+        by = facts.groupBy(*more, *self.entry)
+        return by.agg(*(F.expr(sql).alias(name) for name, (sql, _) in self.measures.items())) if self.measures else facts.select(*more, *self.entry).distinct()
+
+    def merged(self, entries: DataFrame, *more: str) -> DataFrame:
+        """``entries`` of which several are alike, as one."""
+        by, types = entries.groupBy(*more, *self.entry), dict(entries.dtypes)
+        return by.agg(*self.merges(types)) if self.measures else entries.select(*more, *self.entry).distinct()
+
+    def sets(self, entries: DataFrame, *more: str) -> DataFrame:
+        """Tiles of ``entries``. A set is made where all its values are, at most 32,768 rows: a part of one would be 4 KB for a few values."""
+        if not self.distinct:
+            return entries
+        types = dict(entries.dtypes)
+        entries = entries.withColumn("bucket", F.bitmap_bucket_number(ID))  # a fact without an id has a null bucket and an empty set
+        bits = F.bitmap_construct_agg(F.bitmap_bit_position(ID)).alias("bits")
+        return entries.repartition(*more, *self.group).groupBy(*more, *self.group).agg(*self.merges(types), bits)
 
     def grouped_facts(self, facts: DataFrame, *more: str) -> DataFrame:
-        if self.distinct:  # a fact without an id has a null bucket and an empty set
-            facts = facts.withColumn("bucket", F.bitmap_bucket_number(F.col(self.distinct).cast("long")))
-        return facts.groupBy(*more, *self.group).agg(*self.of_facts())
+        return self.sets(self.entries(facts, *more), *more)
 
 
 def day_and_month_tiles(facts: DataFrame, tile: Tile) -> DataFrame:
-    """The tiles of ``facts``: one aggregation to days, of which months are made (days are not aggregated again)."""
-    days = tile.grouped_facts(facts.where(F.col(tile.time).isNotNull()).withColumn("start", F.to_date(tile.time)), "start")
-    types = dict(days.dtypes)
-    months = days.withColumn("start", F.trunc("start", "month")).groupBy("start", *tile.group).agg(*tile.of_tiles(types))
-    levels = [df.select(F.lit(level).alias("level"), "start", *tile.group, *tile.values) for level, df in ((DAY, days), (MONTH, months))]
+    """The tiles of ``facts``: one aggregation to days, of which months are made; neither is aggregated again."""
+    days = tile.entries(facts.where(F.col(tile.time).isNotNull()).withColumn("start", F.to_date(tile.time)), "start")
+    months = tile.merged(days.withColumn("start", F.trunc("start", "month")), "start")
+    levels = [tile.sets(df, "start").select(F.lit(level).alias("level"), "start", *tile.group, *tile.values) for level, df in ((DAY, days), (MONTH, months))]
     return reduce(DataFrame.unionByName, levels).withColumn(MONTH_COLUMN, F.trunc("start", "month"))
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 from conftest import SMOKE_SF
+from pyspark.sql import functions as F
 from test_plans import explain
+from test_tiles import rows, shifted
 
 from telcolens import session
 from telcolens.operators import tiles
@@ -33,3 +35,20 @@ def test_days_are_aggregated_once(spark):
     made = tiles.day_and_month_tiles(series.store_facts(t, "uses"), series.USES)
     assert "Generate" not in explain(made, "formatted")  # no row is copied to a level before it is aggregated
     assert made.groupBy("level", "start", *series.USES.group).count().where("count > 1").isEmpty()
+
+
+def test_sets_are_made_where_their_values_are(spark):
+    t = driver_tables(spark, SMOKE_SF)
+    made = tiles.day_and_month_tiles(series.store_facts(t, "callers"), series.CALLERS)
+    lines = explain(made, "simple").splitlines()
+    assert any("bitmap_construct_agg" in x for x in lines)
+    assert not any("Exchange" in a and "partial_bitmap" in b for a, b in zip(lines, lines[1:]))  # 4 KB for each row, where ids are sparse
+
+
+def test_month_sets_are_the_days_sets(spark):
+    facts = shifted(spark)["calls"]
+    made = tiles.day_and_month_tiles(facts, series.CALLERS)
+    month = F.trunc("call_date", "month").alias("start")
+    want = facts.where("call_date IS NOT NULL").groupBy(month, "call_type_id").agg(F.count_distinct("caller_id"), F.sum("call_duration").cast("long"))
+    got = made.where("level = 'month'").groupBy("start", "call_type_id").agg(tiles.set_size(), F.sum("seconds"))
+    assert rows(got) == rows(want)
