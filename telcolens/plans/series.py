@@ -84,7 +84,8 @@ def t14_at_dates(t: Tables, root: str, as_ofs: Iterable[AsOf], months: int = 6)
     as_ofs = list(as_ofs)
     pay, svc = _payments_services(t, root, as_ofs, months)
     dates = F.explode(F.array(*[ts_lit(a) for a in as_ofs])).alias("as_of")
-    out = t["subscribers"].select(dates, *NAMES)
+    # Shuffled first: the files of all subscribers may be one task, which would hold a row a date of each.
+    out = t["subscribers"].select(*NAMES).repartition("subscribers_id").select(dates, *NAMES)
     for part in (pay, svc):
         out = out.join(part, ["as_of", "subscribers_id"], "left")
     return out.select("as_of", *NAMES, zero("amount", "decimal(38,2)"), zero("services"))

@@ -6,7 +6,7 @@ import pytest
 from conftest import SMOKE_SF
 from pyspark.sql import functions as F
 from test_plans import explain
-from test_tiles import rows, shifted
+from test_tiles import DATES, rows, shifted
 
 from telcolens import session
 from telcolens.operators import tiles
@@ -52,3 +52,11 @@ def test_month_sets_are_the_days_sets(spark):
     want = facts.where("call_date IS NOT NULL").groupBy(month, "call_type_id").agg(F.count_distinct("caller_id"), F.sum("call_duration").cast("long"))
     got = made.where("level = 'month'").groupBy("start", "call_type_id").agg(tiles.set_size(), F.sum("seconds"))
     assert rows(got) == rows(want)
+
+
+def test_subscribers_are_spread_before_they_meet_the_dates(spark, tmp_path):
+    t, root = driver_tables(spark, SMOKE_SF), str(tmp_path)
+    series.append_stores(t, root, ["payments", "uses"])
+    lines = explain(series.t14_at_dates(t, root, DATES), "simple").splitlines()
+    dates = next(i for i, x in enumerate(lines) if "Generate explode" in x)
+    assert any("REPARTITION_BY_COL" in x for x in lines[dates + 1 : dates + 4])
