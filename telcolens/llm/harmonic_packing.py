@@ -11,10 +11,10 @@ At the end a worker has less than one bin of each class open. Those pieces are d
 in the same way, and so on, until one worker is left with at most a fixed number of pieces; its own last pieces, less than one
 bin a class in the whole job, follow each other and are cut where a sequence is full, so that one sequence of the job is padded.
 
-Tokens: a text of common letters and signs, on which all Unicode versions agree, is cut at white space into units, which the word-level pre-tokenizer never
-crosses and its normalizer joins; a unit is lower-cased and cut into pieces by the tokenizer file's own pattern. A worker remembers pieces. The
-library encodes many new pieces at once, and the model's word ends tell their ids apart. Units with other characters go to the library
-whole, as do all texts for tokenizers of another kind.
+Tokens: texts of common letters and signs, on which all Unicode versions agree, are lower-cased and cut into the pieces of the pre-tokenizer's
+pattern as arrays of characters, many texts at once. Each distinct piece is looked up once; a worker remembers pieces. The library encodes
+many new pieces at once, and the model's word ends tell their ids apart. White space, which the pre-tokenizer never crosses and its normalizer
+joins, cuts other texts into units: those with other characters go to the library whole, as do all texts for tokenizers of another kind.
 
 Nulls: a null text is empty and gives the end id alone; null ids and repeated rows are packed as any other. An empty table gives no
 pieces. Very long texts are many full sequences. Ties do not arise. Other columns are not read, whatever their names.
@@ -29,12 +29,13 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial, reduce
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -49,11 +50,17 @@ END_ID = 1
 FAN = 8
 # Pieces that a worker remembers: up to twice as many, the older half of which goes first; and the longest of them in characters.
 KNOWN, LONGEST = 600_000, 64
+# Bytes of rows that are encoded at once (but whole Arrow batches): pieces that repeat in them are looked up once.
+CALL_BYTES = 1 << 22
 # White space on which str.split and the tokenizer's pattern may disagree: texts with such are cut at plain spaces and line ends only.
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # What the library alone may normalize: any but plain white space, printable ASCII, Latin without the dotted I, Cyrillic, dashes and quotes; or a special token.
 RARE = re.compile("[^ \t\n\r!-~\u00a1-\u012f\u0131-\u024f\u0400-\u04ff\u2010-\u2027]|<\\|")
 PLAIN_SPACE = re.compile("[ \t\n\r]+")
+# The pre-tokenizer's pattern that ``cut`` follows: a fixed value of the tokenizer file's kind (word-level BPE).
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Kinds of characters in that pattern.
+SPACE, LETTER, NUMBER, SIGN, OTHER = range(5)
 
 
 def default_tokenizer() -> str:
@@ -62,35 +69,70 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Memory:
-    """What a worker remembers, in two halves: when the newer is full, the older goes."""
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """Kind and lower case of every 16-bit character; RARE ones and halves of longer characters are OTHER."""
+    kind, lower = np.full(1 << 16, OTHER, np.uint8), np.arange(1 << 16, dtype=np.uint16)
+    for c in (chr(i) for i in range(1 << 16)):
+        if not RARE.match(c):
+            kind[ord(c)] = next(k for k, p in ((SPACE, r"\s"), (LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SIGN, ".")) if regex.match(p, c))
+            lower[ord(c)] = ord(c.lower())
+    return kind, lower
+
+
+KIND, LOWER = _characters()
+
+
+def joined(texts: list[str]) -> np.ndarray:
+    """The texts' 16-bit characters, a line end after each and two at the end."""
+    return np.frombuffer("\n".join([*texts, "", ""]).encode("utf-16-le"), np.uint16)
+
+
+def cut(chars: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Where the pieces of PIECES begin in ``joined`` characters without OTHER ones, and the pieces in lower case, as bytes."""
+    chars = LOWER[chars]
+    start = np.ones(len(kind), bool)
+    np.not_equal(kind[1:], kind[:-1], out=start[1:])
+    start |= kind == NUMBER
+    start &= kind != SPACE
+    # A sign that is a lone quote takes the letters of 's and its like along, and a piece begins after them.
+    quote = np.flatnonzero(chars == ord("'"))
+    quote = quote[start[quote] & (kind[quote + 1] == LETTER)]
+    one, two = chars[quote + 1], chars[quote + 2]
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = np.zeros(len(quote), bool)
+    for a, b in ("re", "ve", "ll"):
+        long |= (one == ord(a)) & (two == ord(b))
+    start[quote[short | long] + 1] = False
+    after = np.concatenate([quote[short] + 2, quote[long] + 3])
+    start[after[kind[after] == LETTER]] = True
+    stop = start[1:] | (kind[1:] == SPACE)
+    stop &= kind[:-1] != SPACE
+    begin, end = np.flatnonzero(start), np.flatnonzero(stop) + 1
+    offsets = np.concatenate([[0], 2 * np.cumsum(end - begin)])
+    data = [None, pa.py_buffer(offsets), pa.py_buffer(chars[kind != SPACE])]
+    return begin, pa.Array.from_buffers(pa.large_binary(), len(begin), data)
 
-    def __init__(self):
-        self.now: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.long: list[str] = []
-
-    def unknown(self, wanted: set[str]) -> set[str]:
-        """Those that are to be added; what the older half has of the others comes to the newer."""
-        out = wanted.difference(self.now)
-        if self.older:
-            kept = out.intersection(self.older)
-            self.now.update((k, self.older[k]) for k in kept)
-            out.difference_update(kept)
-        return out
 
-    def add(self, items: Iterable[tuple[str, bytes]]) -> None:
-        for k, ids in items:
-            self.now[k] = ids
-            if len(k) > LONGEST:
-                self.long.append(k)
+class Memory:
+    """Ids that a worker remembers, in two halves: when the newer is full, the older goes."""
 
-    def tidy(self) -> None:
-        for k in self.long:
-            del self.now[k]
-        self.long = []
+    def __init__(self):
+        self.now: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def ids(self, pieces: list[bytes], learn: Callable[[list[bytes]], Iterable[bytes]]) -> list[bytes]:
+        """Ids of distinct pieces; ``learn`` gives the unknown ones'. What the older half has of them comes to the newer."""
+        out = list(map(self.now.get, pieces))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        back = [self.older.get(pieces[i]) for i in new]
+        learned = iter(learn([pieces[i] for i, ids in zip(new, back) if ids is None]))
+        for i, ids in zip(new, back):
+            out[i] = next(learned) if ids is None else ids
+            if len(pieces[i]) <= 2 * LONGEST:
+                self.now[pieces[i]] = out[i]
         if len(self.now) > KNOWN:
             self.now, self.older = {}, self.now
+        return out
 
 
 class UnitEncoder:
@@ -107,11 +149,12 @@ class UnitEncoder:
         spec = json.loads(self.tokenizer.to_str())
         steps = (spec["normalizer"] or {}).get("normalizers", [])
         splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        kinds = [s["type"] for s in steps]
         joins_space = any(s["type"] == "Replace" and s["pattern"].get("Regex") == r"\s+" for s in steps)
         drops_space = bool(splits) and splits[0]["type"] == "Split" and splits[0]["invert"] and splits[0]["behavior"] == "Removed"
+        follows = drops_space and splits[0]["pattern"].get("Regex") == PIECES and "Lowercase" in kinds
         spaced = any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
-        self.cuts = joins_space and drops_space and not spaced and spec["model"]["type"] == "BPE" and bool(spec["model"]["end_of_word_suffix"])
-        self.pieces = regex.compile(splits[0]["pattern"]["Regex"]) if self.cuts else None
+        self.cuts = joins_space and follows and not spaced and spec["model"]["type"] == "BPE" and bool(spec["model"]["end_of_word_suffix"])
         if self.cuts:
             vocabulary, end = self.tokenizer.get_vocab(), spec["model"]["end_of_word_suffix"]
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -126,51 +169,51 @@ class UnitEncoder:
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+    def learn(self, pieces: list[bytes]) -> Iterator[bytes]:
         """Ids of pieces, many to a call: each is a word of its own between spaces, and ends where the model ends a word."""
-        for i in range(0, len(pieces), 1000):
-            some = pieces[i : i + 1000]
+        for i in range(0, len(pieces), 128):
+            some = [p.decode("utf-16-le") for p in pieces[i : i + 128]]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
             stop = 4 * (np.flatnonzero(self.ends[ids]) + 1)
             if len(stop) == len(some) and stop[-1] == ids.nbytes:
                 raw, stop = ids.tobytes(), stop.tolist()
-                yield from zip(some, [raw[a:b] for a, b in zip([0, *stop], stop)])
+                yield from [raw[a:b] for a, b in zip([0, *stop], stop)]
             else:
-                yield from zip(some, self.library(some))
-
-    def plain(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts without RARE characters. Only the distinct units of the texts are looked up; Arrow takes their ids for all units."""
-        if not texts:
-            return []
-        units = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
-        coded = units.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        pieces = [[low] if low.isalpha() else self.pieces.findall(low) for low in map(str.lower, names)]
-        self.words.add(self.learn(list(self.words.unknown(set().union(*pieces)))))
-        word = self.words.now
-        own = [word[p[0]] if len(p) == 1 else b"".join([word[x] for x in p]) for p in pieces]
-        self.words.tidy()
+                yield from self.library(some)
+
+    def plain(self, texts: list[str], chars: np.ndarray, kind: np.ndarray) -> list[bytes]:
+        """Ids of texts without RARE characters. Only their distinct pieces are looked up; Arrow takes their ids for all pieces."""
+        begin, pieces = cut(chars, kind)
+        coded = pieces.dictionary_encode()
+        own = self.words.ids(coded.dictionary.to_pylist(), self.learn)
         ends = np.cumsum(np.fromiter(map(len, own), np.int64, len(own))) // 4
         lists = pa.LargeListArray.from_arrays(np.concatenate([[0], ends]), np.frombuffer(b"".join(own), "<u4"))
         taken = lists.take(coded.indices)
-        raw = taken.flatten().to_numpy().tobytes()
-        sizes = np.concatenate([[0], np.cumsum(taken.value_lengths().to_numpy())])
-        at = (4 * sizes[units.offsets.to_numpy() - units.offsets[0].as_py()]).tolist()
+        first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        at = (4 * taken.offsets.to_numpy()[np.searchsorted(begin, first)]).tolist()
+        raw = taken.values.to_numpy().tobytes()
         return [raw[a:b] for a, b in zip(at, at[1:])]
 
-    def unplain(self, text: str) -> bytes:
+    def unplain(self, text: str) -> list[bytes | str]:
+        """A text's units with RARE characters as the library's ids, and what lies between them as plain texts."""
         units = PLAIN_SPACE.split(text) if ODD_SPACE.search(text) else text.split()
         rare = [bool(RARE.search(u)) for u in units]
         whole = iter(self.library([u for u, r in zip(units, rare) if r]))
-        plain = iter(self.plain([u for u, r in zip(units, rare) if not r]))
-        return b"".join([next(whole if r else plain) for r in rare])
+        return [x for r, own in groupby(zip(rare, units), itemgetter(0)) for x in ([next(whole) for _ in own] if r else [" ".join([u for _, u in own])])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self.library(texts)
-        rare = [bool(RARE.search(t)) for t in texts]
-        plain = iter(self.plain([t for t, r in zip(texts, rare) if not r]))
-        return [self.unplain(t) if r else next(plain) for t, r in zip(texts, rare)]
+        chars = joined(texts)
+        kind = KIND[chars]
+        opened = np.flatnonzero(chars == ord("<"))
+        if kind.max() < OTHER and not (chars[opened + 1] == ord("|")).any():
+            return self.plain(texts, chars, kind)
+        runs = [self.unplain(t) if RARE.search(t) else [t] for t in texts]
+        some = [x for own in runs for x in own if isinstance(x, str)]
+        chars = joined(some)
+        plain = iter(self.plain(some, chars, KIND[chars]))
+        return [b"".join([next(plain) if isinstance(x, str) else x for x in own]) for own in runs]
 
 
 def cuts(n: int, capacity: int, slack: int) -> Iterator[tuple[int, int]]:
@@ -246,22 +289,35 @@ def _schema(doc_id: pa.DataType) -> pa.Schema:
     return pa.schema([("doc_id", doc_id), *numbers, ("ids", pa.binary())])
 
 
+def gathered(parts: Iterable[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Arrow batches by CALL_BYTES."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += part.nbytes
+        if size >= CALL_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _pack_documents(tokenizer: str, end_id: int, capacity: int, slack: int, keep_ids: bool, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encoder, bins = UnitEncoder.of(tokenizer), Bins(capacity, _sequence_base(0), keep_ids)
     end, schema = int(end_id).to_bytes(4, "little"), None
 
-    def closed(part: pa.RecordBatch) -> Iterator[dict]:
-        texts = [t or "" for t in part.column("text").to_pylist()]
-        for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts)):
+    def closed(held: list[pa.RecordBatch]) -> Iterator[dict]:
+        doc_ids, texts = ([x for part in held for x in part.column(c).to_pylist()] for c in ("doc_id", "text"))
+        for doc_id, ids in zip(doc_ids, encoder.encode([t or "" for t in texts])):
             ids += end
             n = len(ids) // 4
             for start, size in cuts(n, capacity, slack):
                 own = ids[4 * start : 4 * (start + size)]
                 yield from bins.add({"doc_id": doc_id, "start": start, "length": size, "ids_crc32": zlib.crc32(own), "doc_tokens": n, "ids": own})
 
-    for part in parts:
-        schema = _schema(part.schema.field("doc_id").type)
-        yield from batches(closed(part), schema)
+    for held in gathered(parts):
+        schema = _schema(held[0].schema.field("doc_id").type)
+        yield from batches(closed(held), schema)
     if schema is not None:
         yield from batches(bins.rest(), schema)
 

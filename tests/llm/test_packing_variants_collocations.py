@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -100,6 +101,41 @@ def test_classes():
             assert all((capacity // s) * s <= capacity for _, s in got)
 
 
+def test_ids_are_the_librarys_wherever_pieces_are_cut():
+    encoder = harmonic_packing.UnitEncoder(harmonic_packing.default_tokenizer())
+    rng = random.Random(12)
+    plain = ["'", "'s", "'T", "'re", "'VE", "'ll", "'d", "'m", " ", "\n", "\t", "\r", "a", "s", "l", "É", "ж", "ǅ", "Ⱥ", "Ⱦ", "1", "²", "½", "ª", "<", "!", "—", "\u0483"]
+    rare = [*plain, "|", "<|endoftext|>", "İ", "中", "😀", "\u0301", "\x0b", "\xa0", "\u3000"]
+    for some in [plain, rare]:
+        for size in (0, 1, 60):
+            texts = ["".join(rng.choices(some, k=rng.choice([0, 1, 2, 5, 30, 200]))) for _ in range(size)]
+            assert encoder.encode(texts) == [encoder.library([t])[0] for t in texts]
+
+
+def test_ids_stay_right_when_a_worker_forgets_pieces(monkeypatch):
+    monkeypatch.setattr(harmonic_packing, "KNOWN", 5)
+    monkeypatch.setattr(harmonic_packing, "LONGEST", 3)
+    encoder = harmonic_packing.UnitEncoder(harmonic_packing.default_tokenizer())
+    rng = random.Random(13)
+    for _ in range(30):
+        texts = [" ".join(rng.choices(["to", "be", "or", "not", "that", "question", "an", "it", "is", "1603"], k=3)) for _ in range(2)]
+        assert encoder.encode(texts) == encoder.library(texts)
+        assert all(len(x) <= 2 * 3 for x in [*encoder.words.now, *encoder.words.older]) and len(encoder.words.now) <= 5
+
+
+def test_new_units_of_known_pieces_take_no_python_calls_each():
+    encoder = harmonic_packing.UnitEncoder(harmonic_packing.default_tokenizer())
+    words = ["alpha", "beta", "gamma", "delta", "omega", "theta", "kappa", "sigma", "lambda", "iota"]
+    units = [f"{a},{b}.{c}!{d}" for a in words for b in words for c in words for d in words[:5]]
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        ids = encoder.encode([" ".join(units)])
+    finally:
+        sys.setprofile(None)
+    assert ids == encoder.library([" ".join(units)]) and calls["c_call"] < len(units) / 5
+
+
 def near(a, b):
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b)) == 1
