@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,3 +256,21 @@ def test_double_array_follows_only_its_phrases():
         place, state = collocations.advance(base, check, place, state, collocations.digits(x, 2))
     want = [i for i, r in enumerate(zip(*(x.tolist() for x in asked))) if r in there]
     assert sorted(place.tolist()) == want and len(base) < 3 * len(there) * 4
+
+
+def test_tries_are_built_from_any_number_of_rows():
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for shard, n in enumerate([1, 63, 64, 65, 128, 192]):  # a shard may end with a full gathering of 64 rows
+        own = []
+        for _ in range(n):
+            a, b = (rng.integers(1, 900, 5).astype(np.uint32) for _ in range(2))
+            c = np.array([0, 0, 0, 7, 7], np.uint32)
+            a[3:], b[3:] = a[1:3], b[1:3]  # the pair of each triple is there, too
+            own.append((a, b, c))
+            rows.append({"shard": shard, "a": a.tobytes(), "b": b.tobytes(), "c": c.tobytes()})
+        want[shard] = collocations.build_trie(*(np.concatenate(x) for x in zip(*own)), 1)
+    parts = (pa.RecordBatch.from_pylist(rows[i : i + 100], collocations.CANDIDATE_ROW) for i in range(0, len(rows), 100))
+    got = [r for part in collocations._build(1, parts) for r in part.to_pylist()]
+    assert [(r["shard"], r["n"]) for r in got] == [(k, len(check)) for k, (_, check) in want.items()]
+    assert all(r["base"] == want[r["shard"]][0].tobytes() and r["check"] == want[r["shard"]][1].tobytes() for r in got)
