@@ -274,3 +274,30 @@ def test_tries_are_built_from_any_number_of_rows():
     got = [r for part in collocations._build(1, parts) for r in part.to_pylist()]
     assert [(r["shard"], r["n"]) for r in got] == [(k, len(check)) for k, (_, check) in want.items()]
     assert all(r["base"] == want[r["shard"]][0].tobytes() and r["check"] == want[r["shard"]][1].tobytes() for r in got)
+
+
+@pytest.mark.parametrize("top", [1, 2, 900, 1 << 20, 1 << 31, 1 << 32])
+def test_distinct_rows_of_any_width(top):
+    rng = np.random.default_rng(4)
+    for k in (1, 2, 3, 4):
+        columns = [rng.integers(0, top, 300).astype(np.uint32)[rng.integers(0, 300, 500)] for _ in range(k)]
+        columns[-1][::7] = 0
+        got = collocations.distinct(*columns)
+        assert [*zip(*(x.tolist() for x in got))] == sorted({*zip(*(x.tolist() for x in columns))}) and {x.dtype for x in got} == {np.dtype(np.uint32)}
+        assert [len(x) for x in collocations.distinct(*(x[:0] for x in columns))] == [0] * k
+
+
+def test_counts_grow_with_windows_not_with_tries():
+    a = np.arange(1, 60_001, dtype=np.uint32)  # one trie of many more slots than the text has windows
+    base, check = collocations.build_trie(a, a, np.zeros_like(a), 2)
+    text = np.array([5, 5, 0, 700, 700, 0, 5, 5, 0, 59_000, 59_000, 0, 1, 2, 0], "<u4")
+    part = pa.RecordBatch.from_pylist([{"ids": text.tobytes()}], pa.schema([("ids", pa.binary())]))
+    got = [*collocations._count_phrases({0: (base, check)}, {0: len(check)}, 1, 2, iter([part]))]
+    assert sum(x.nbytes for x in got) < 1000
+    place, state = np.arange(len(a)), np.zeros(len(a), np.int64)
+    for x in (a, a):
+        place, state = collocations.advance(base, check, place, state, collocations.digits(x, 2))
+    want = {int(state[w - 1]): n for w, n in ((5, 2), (700, 1), (59_000, 1))}
+    rows = [r for part in got for r in part.to_pylist()]
+    slots = [r["piece"] * collocations.PIECE + int(k) for r in rows for k in np.frombuffer(r["slots"], "<u2")]
+    assert dict(zip(slots, (int(n) for r in rows for n in np.frombuffer(r["counts"], "<i8")))) == want
